@@ -82,31 +82,34 @@ def tvp_filter(df: DataFrame, y: str, xs: Sequence[str], q: float, h: float, key
     return _grouped(df, y, xs, keys, order).applyInPandas(run, schema)
 
 
+def drift(info: np.ndarray, vec: np.ndarray, q: float) -> tuple[np.ndarray, np.ndarray]:
+    """Information about the betas one step on; works for no information and for q = 0."""
+    m = np.linalg.inv(np.eye(len(vec)) + q * info)
+    moved = m @ info
+    return (moved + moved.T) / 2.0, m @ vec
+
+
 def smooth(y: np.ndarray, x: np.ndarray, q: float, h: float) -> tuple[np.ndarray, np.ndarray]:
     """Two-sided betas and their standard deviations.
 
-    Backward recursion on the scaled innovations, which divides by the scalar
-    innovation variance only and needs no matrix inverse.
+    Information from the past and present meets information from the future. Both
+    only ever add up, so the wide prior costs no digits.
     """
     n, k = x.shape
-    b, p = start(k)
-    pred_b, pred_p = np.empty((n, k)), np.empty((n, k, k))
-    v, f = np.empty(n), np.empty(n)
+    seen, seen_v = np.eye(k) / PRIOR_VARIANCE, np.zeros(k)
+    info, vec = np.empty((n, k, k)), np.empty((n, k))
     for t in range(n):
         if t:
-            p = p + np.eye(k) * q
-        pred_b[t], pred_p[t] = b, p
-        v[t], f[t], b, p = step(b, p, x[t], y[t], h)
-    out, se = np.empty((n, k)), np.empty((n, k))
-    r, big = np.zeros(k), np.zeros((k, k))
-    for t in range(n - 1, -1, -1):
-        xt = x[t]
-        away = np.eye(k) - np.outer(pred_p[t] @ xt, xt) / f[t]
-        r = xt * v[t] / f[t] + away.T @ r
-        big = np.outer(xt, xt) / f[t] + away.T @ big @ away
-        out[t] = pred_b[t] + pred_p[t] @ r
-        se[t] = np.sqrt(np.maximum(np.diag(pred_p[t] - pred_p[t] @ big @ pred_p[t]), 0.0))
-    return out, se
+            seen, seen_v = drift(seen, seen_v, q)
+        seen, seen_v = seen + np.outer(x[t], x[t]) / h, seen_v + x[t] * y[t] / h
+        info[t], vec[t] = seen, seen_v
+    ahead, ahead_v = np.zeros((k, k)), np.zeros(k)
+    for t in range(n - 2, -1, -1):
+        ahead, ahead_v = drift(ahead + np.outer(x[t + 1], x[t + 1]) / h, ahead_v + x[t + 1] * y[t + 1] / h, q)
+        info[t] += ahead
+        vec[t] += ahead_v
+    cov = np.linalg.inv(info)
+    return np.einsum("tij,tj->ti", cov, vec), np.sqrt(np.einsum("tii->ti", cov))
 
 
 def tvp_smooth(df: DataFrame, y: str, xs: Sequence[str], q: float, h: float, keys: Sequence[str] = KEYS,
@@ -147,10 +150,10 @@ def loglik(y: np.ndarray, x: np.ndarray, h: np.ndarray, q: np.ndarray) -> np.nda
     b = np.zeros((m, k))
     p = np.broadcast_to(np.eye(k) * PRIOR_VARIANCE, (m, k, k)).copy()
     total = np.full(m, -0.5 * n * np.log(2 * np.pi))
-    drift = q[:, None, None] * np.eye(k)
+    step_var = q[:, None, None] * np.eye(k)
     for t in range(n):
         if t:
-            p += drift
+            p += step_var
         px = p @ x[t]
         f = px @ x[t] + h
         v = y[t] - b @ x[t]

@@ -1,8 +1,12 @@
+import os
 import sys
 from pathlib import Path
 
 import pytest
 
+# The reference computations of the tests need no threads inside the linear algebra library.
+os.environ.setdefault("OPENBLAS_NUM_THREADS", "1")
+
 ROOT = Path(__file__).resolve().parents[1]
 sys.path.insert(0, str(ROOT))
 sys.path.insert(0, str(ROOT / "tests"))
