@@ -1,8 +1,8 @@
 """Regression with random-walk betas: y_t = x_t' b_t + e_t, b_t = b_{t-1} + u_t.
 
 The recursion is sequential inside a series and independent between series. Spark
-shuffles and sorts the rows by (series, date); the forward filter then reads each
-series as a stream of Arrow batches and keeps only the state (b, P) between rows,
+shuffles and sorts the rows by (series, date); the forward filter then reads its
+partition as a stream of Arrow batches and keeps only the state (b, P) between rows,
 so the length of a series does not matter for memory. The backward smoother and
 the likelihood search need a whole series, which holds one row per date.
 """
@@ -28,7 +28,7 @@ def step(b: np.ndarray, p: np.ndarray, x: np.ndarray, y: float, h: float):
     v = y - x @ b
     f = x @ px + h
     gain = px / f
-    return v, f, b + gain * v, p - np.outer(gain, px)
+    return v, f, b + gain * v, p - gain[:, None] * px
 
 
 def start(k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -43,10 +43,19 @@ def _with_intercept(df: DataFrame, xs: Sequence[str], intercept: bool) -> tuple[
     return (df.withColumn("const", F.lit(1.0)), ["const", *xs]) if intercept else (df, list(xs))
 
 
-def _grouped(df: DataFrame, y: str, xs: Sequence[str], keys, order):
-    """Rows of complete observations, hash-partitioned by series and sorted by date inside it."""
+def _by_series(df: DataFrame, y: str, xs: Sequence[str], keys, order) -> DataFrame:
+    """Complete observations, hash-partitioned by series and sorted by date inside it.
+
+    The partition count is explicit: these stages are heavy per byte, and adaptive
+    execution would otherwise merge them by size into few tasks.
+    """
     rows = df.filter(complete([y, *xs])).select(*keys, order, F.col(y).cast("double").alias("_y"), F.array(*xs).alias("_x"))
-    return rows.repartition(*keys).sortWithinPartitions(*keys, order).groupBy(*keys)
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(n, *keys).sortWithinPartitions(*keys, order)
+
+
+def _grouped(df: DataFrame, y: str, xs: Sequence[str], keys, order):
+    return _by_series(df, y, xs, keys, order).groupBy(*keys)
 
 
 def tvp_filter(df: DataFrame, y: str, xs: Sequence[str], q: float, h: float, keys: Sequence[str] = KEYS,
@@ -55,31 +64,39 @@ def tvp_filter(df: DataFrame, y: str, xs: Sequence[str], q: float, h: float, key
 
     ``q`` is the variance of the beta steps (the same for all betas), ``h`` that of
     the observation. The first prediction is 0, so the first innovation is y itself.
+    A task walks through its sorted series one Arrow batch after the other; a batch
+    may hold many short series or a part of a long one.
     """
     df, xs = _with_intercept(df, xs, intercept)
     keys, k = list(keys), len(xs)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         b, p = start(k)
-        first, last = True, None
+        noise = np.eye(k) * q
+        series, last = None, None
         for pdf in batches:
-            rows = []
-            for d, yv, xv in zip(pdf[order], pdf["_y"].to_numpy(), pdf["_x"]):
-                if last is not None and d <= last:
-                    raise ValueError("dates of a series must be unique and in order")
-                last = d
-                if not first:
-                    p = p + np.eye(k) * q
-                first = False
-                v, f, b, p = step(b, p, np.asarray(xv, float), yv, h)
-                rows.append((v, f, b.tolist(), np.sqrt(np.maximum(np.diag(p), 0.0)).tolist()))
-            out = pdf[[*keys, order]].copy()
-            out["y"] = pdf["_y"]
-            out[["innov", "innov_var", "beta", "se"]] = pd.DataFrame(rows, index=pdf.index, columns=["innov", "innov_var", "beta", "se"])
+            n = len(pdf)
+            if not n:
+                continue
+            innov, var, beta, se = np.empty(n), np.empty(n), np.empty((n, k)), np.empty((n, k))
+            ids = list(zip(*[pdf[c] for c in keys]))
+            days, ys, rows = pdf[order].tolist(), pdf["_y"].tolist(), np.array(pdf["_x"].tolist(), float)
+            for i in range(n):
+                if ids[i] != series:
+                    series, (b, p) = ids[i], start(k)
+                elif days[i] <= last:
+                    raise ValueError("dates of a series must be unique")
+                else:
+                    p = p + noise
+                last = days[i]
+                innov[i], var[i], b, p = step(b, p, rows[i], ys[i], h)
+                beta[i], se[i] = b, p.diagonal()
+            out = pdf[[*keys, order]].assign(y=ys, innov=innov, innov_var=var)
+            out["beta"], out["se"] = list(beta), list(np.sqrt(np.maximum(se, 0.0)))
             yield out
 
     schema = f"{_types(df, keys, order)}, y double, innov double, innov_var double, beta array<double>, se array<double>"
-    return _grouped(df, y, xs, keys, order).applyInPandas(run, schema)
+    return _by_series(df, y, xs, keys, order).mapInPandas(run, schema)
 
 
 def drift(info: np.ndarray, vec: np.ndarray, q: float) -> tuple[np.ndarray, np.ndarray]:

@@ -22,7 +22,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def cents(c: Column) -> Column:
-    return F.round(c * 100).cast("bigint")
+    """Whole cents; ``rint`` stays in primitive arithmetic where ``round`` would go through decimals."""
+    return F.rint(c * 100).cast("bigint")
 
 
 def mean_of(total_cents: Column, n: Column) -> Column:
