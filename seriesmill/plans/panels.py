@@ -190,7 +190,12 @@ def ols_coef_by_segment(spark, sf):
     return _coef_table(segment_returns(spark, sf))
 
 
-@query("ols_pvalues")
+@query(
+    "ols_pvalues",
+    f"{_SEG}, {Q.ols()}, tt AS ("
+    + " UNION ALL ".join(f"SELECT panel_id, '{t}' AS term, b[{i}] / se[{i}] AS t, n - 6 AS dof FROM fit" for i, t in enumerate(["intercept", *X], 1))
+    + f") SELECT panel_id, term, {Q.rnd(Q.t_tail('t', 'dof'), 'p')} FROM tt",
+)
 def ols_pvalues(spark, sf):
     return tidy(R.ols(segment_returns(spark, sf), "y", X).select("panel_id", "term", "p"))
 
@@ -272,13 +277,35 @@ def rich_cheap_path(spark, sf):
     return tidy(p.select("panel_id", "date", "resid", "cum_resid", "z", "z_cum"))
 
 
-@query("lasso_cv")
+def _lasso_sql(ctes: str) -> str:
+    sd = ", ".join(f"stddev_pop({x}) AS sd{i}, avg({x}) AS av{i}" for i, x in enumerate(X, 1))
+    raw0 = "my - (" + " + ".join(f"w[{i}] / sd{i} * av{i}" for i in range(1, 6)) + ")"
+    quad = " + ".join(f"w[{i}] * w[{j}] * g[{i}][{j}]" for i in range(1, 6) for j in range(1, 6))
+    lin = " + ".join(f"w[{i}] * c[{i}]" for i in range(1, 6))
+    head = f"{Q.rnd('alpha')}, {Q.rnd(f'1 - (vy - 2 * ({lin}) + {quad}) / vy', 'r2')}"
+    rows = [f"SELECT panel_id, 'intercept' AS term, CAST(NULL AS DOUBLE) AS coef_std, {Q.rnd(raw0, 'coef')}, {head}, true AS selected FROM bb"]
+    rows += [
+        f"SELECT panel_id, '{x}', {Q.rnd(f'w[{i}]', 'coef_std')}, {Q.rnd(f'w[{i}] / sd{i}', 'coef')}, {head}, abs(w[{i}]) > 1e-6 FROM bb"
+        for i, x in enumerate(X, 1)
+    ]
+    return (
+        f"{ctes}, {Q.lasso(5)}, sds AS (SELECT panel_id, var_pop(y) AS vy, {sd} FROM rets GROUP BY 1), "
+        f"bb AS (SELECT * FROM best JOIN sds USING (panel_id)) " + " UNION ALL ".join(rows)
+    )
+
+
+@query("lasso_cv", _lasso_sql(_WEEK))
 def lasso_cv(spark, sf):
     return tidy(L.lasso_cv(weekly_returns(spark, sf), "y", X))
 
 
-@query("lasso_cv_by_segment")
+@query("lasso_cv_by_segment", _lasso_sql(_SEG))
 def lasso_cv_by_segment(spark, sf):
+    return tidy(L.lasso_cv(segment_returns(spark, sf), "y", X))
+
+
+@query("lasso_summary")
+def lasso_summary(spark, sf):
     return tidy(L.selection_summary(L.lasso_cv(segment_returns(spark, sf), "y", X)))
 
 
@@ -299,17 +326,38 @@ def lasso_path(spark, sf):
     return tidy(L.lasso_path(segment_returns(spark, sf), "y", X), 8)
 
 
-@query("pca_explained")
+_PCA = (
+    f"{_SEG}, cm AS (SELECT panel_id, ["
+    + ", ".join("[" + ", ".join("1e0" if a == b else f"corr({a}, {b})" for b in COLS) + "]" for a in COLS)
+    + f"] AS a FROM rets GROUP BY 1), {Q.jacobi(len(COLS))}"
+)
+
+
+@query(
+    "pca_explained",
+    f"{_PCA} SELECT panel_id, pc, {Q.rnds('share')}, {Q.rnd('sum(pcs.share) OVER (PARTITION BY panel_id ORDER BY pc)', 'cum_share')} FROM pcs",
+)
 def pca_explained(spark, sf):
     return tidy(P.explained(P.pca_fit(segment_returns(spark, sf), COLS)))
 
 
-@query("pca_loadings")
+@query(
+    "pca_loadings",
+    f"{_PCA} " + " UNION ALL ".join(f"SELECT panel_id, pc, '{c}' AS series, {Q.rnd(f'sgn * vec[{i}]', 'loading')} FROM pcs" for i, c in enumerate(COLS, 1)),
+)
 def pca_loadings(spark, sf):
     return tidy(P.loadings(P.pca_fit(segment_returns(spark, sf), COLS), COLS))
 
 
-@query("pca_scores")
+_PROJ = " + ".join(f"zd.{c} * (p.sgn * p.vec[{i}])" for i, c in enumerate(COLS, 1))
+
+
+@query(
+    "pca_scores",
+    f"{_PCA}, zd AS (SELECT panel_id, date, {_STD} FROM rets WINDOW w AS (PARTITION BY panel_id)) SELECT zd.panel_id, date, "
+    + ", ".join(f"round(max(CASE WHEN pc = {i} THEN {_PROJ} END), 6) + 0.0 AS pc{i}" for i in range(1, len(COLS) + 1))
+    + " FROM zd JOIN pcs p ON zd.panel_id = p.panel_id GROUP BY 1, 2",
+)
 def pca_scores(spark, sf):
     r = segment_returns(spark, sf)
     return tidy(P.scores(r, P.pca_fit(r, COLS), COLS))

@@ -354,11 +354,19 @@ def stream_tvp(spark, sf):
     return tidy(out.select("asset", "date", "y", F.round("innov", 5).alias("innov"), F.col("beta")[0].alias("beta")), exact=["y"])
 
 
-@query("tvp_daily")
+_ALL_DAYS = "obs AS (SELECT asset AS series_id, row_number() OVER (PARTITION BY asset ORDER BY date) AS t, date, y, [x] AS x FROM days)"
+
+
+@query(
+    "tvp_daily",
+    f"WITH RECURSIVE {_DAYS}, {_ALL_DAYS}, {Q.kalman(1, 0.001, 100.0)} SELECT kf.series_id AS asset, date, obs.y, {Q.rnd('innov', k=5)}, {Q.rnd('innov_var', k=3)} "
+    "FROM kf JOIN obs ON obs.series_id = kf.series_id AND obs.t = kf.t",
+)
 def tvp_daily(spark, sf):
     """Batch twin of the stream over all days, the open last one included."""
     t = S.table(spark, sf, "events").select(
         F.col("event_type").alias("asset"), "ts", "event_id", F.col("value").alias("price"),
         F.get_json_object("props", "$.k").try_cast("double").alias("k"),
     )
-    return tidy(K.tvp_filter(O.daily_pairs(t), "y", ["x"], 0.001, 100.0, ["asset"]).drop("beta", "se"), exact=["y"])
+    f = K.tvp_filter(O.daily_pairs(t), "y", ["x"], 0.001, 100.0, ["asset"]).drop("beta", "se")
+    return tidy(f.withColumns({"innov": F.round("innov", 5), "innov_var": F.round("innov_var", 3)}), exact=["y"])

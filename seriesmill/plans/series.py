@@ -275,9 +275,8 @@ def tag_recent(spark, sf):
 )
 def spread_series(spark, sf):
     s = S.sector_series(spark, sf)
-    a = s.filter("metric = '1-URGENT'")
-    b = s.filter("metric = '5-LOW'")
-    return tidy(J.spread(J.align(a, b, ["entity", "date"])), exact=["x", "y"])
+    pts = J.align_metrics(s, F.col("metric") == "1-URGENT", F.col("metric") == "5-LOW", ["entity", "date"])
+    return tidy(J.spread(pts), exact=["x", "y"])
 
 
 @query(
@@ -592,3 +591,24 @@ def tvp_1f(spark, sf):
 def lag_state(spark, sf):
     f = K.tvp_filter(supplier_returns(spark, sf), "ret", ["xret"], 0.0005, 400.0).withColumn("beta", F.col("beta")[0])
     return tidy(W.lag_state(f, ["beta"]).select("series_id", "date", "prev_beta"), 5)
+
+
+_Q1, _H1 = "0.0005::DOUBLE", "400::DOUBLE"
+
+
+@query(
+    "tvp_smooth_1f",
+    f"{_SR}, o AS (SELECT series_id, row_number() OVER (PARTITION BY series_id ORDER BY date) AS t, date, ret AS y, xret AS x FROM srets), "
+    "n AS (SELECT series_id, max(t) AS n FROM o GROUP BY 1), "
+    f"fw AS (SELECT series_id, t, 1e-6 + x * x / {_H1} AS w, x * y / {_H1} AS v FROM o WHERE t = 1 UNION ALL "
+    f"SELECT o.series_id, o.t, fw.w / (1 + {_Q1} * fw.w) + o.x * o.x / {_H1}, fw.v / (1 + {_Q1} * fw.w) + o.x * o.y / {_H1} FROM fw JOIN o ON o.series_id = fw.series_id AND o.t = fw.t + 1), "
+    "bw AS (SELECT series_id, n AS t, 0e0 AS w, 0e0 AS v FROM n UNION ALL "
+    f"SELECT o.series_id, o.t - 1, (bw.w + o.x * o.x / {_H1}) / (1 + {_Q1} * (bw.w + o.x * o.x / {_H1})), (bw.v + o.x * o.y / {_H1}) / (1 + {_Q1} * (bw.w + o.x * o.x / {_H1})) "
+    "FROM bw JOIN o ON o.series_id = bw.series_id AND o.t = bw.t WHERE o.t > 1) "
+    f"SELECT o.series_id, o.date, {Q.rnd('(fw.v + bw.v) / (fw.w + bw.w)', 'beta')}, {Q.rnd('sqrt(1 / (fw.w + bw.w))', 'se')}, "
+    f"{Q.rnd('(fw.v + bw.v) / (fw.w + bw.w) - 1.96 * sqrt(1 / (fw.w + bw.w))', 'lo')} "
+    "FROM o JOIN fw ON fw.series_id = o.series_id AND fw.t = o.t JOIN bw ON bw.series_id = o.series_id AND bw.t = o.t",
+)
+def tvp_smooth_1f(spark, sf):
+    s = K.tvp_smooth(supplier_returns(spark, sf), "ret", ["xret"], 0.0005, 400.0)
+    return tidy(s.select("series_id", "date", "beta", "se", "lo"))

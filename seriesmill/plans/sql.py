@@ -181,3 +181,78 @@ def kalman(k: int, q: float, h: float, src: str = "obs", key: str = "series_id")
         f"SELECT o.{key}, o.t, o.y, o.x, s.b, s.pp FROM (SELECT {key}, t, b, {pred} AS pp FROM kf) s "
         f"JOIN {src} o ON o.{key} = s.{key} AND o.t = s.t + 1))))"
     )
+
+
+def jacobi(k: int, sweeps: int = 10, src: str = "cm", key: str = "panel_id") -> str:
+    """Eigenvalues and vectors of the symmetric matrix ``a`` by cyclic rotations, one per recursion step."""
+    order = [(i, j) for i in range(1, k + 1) for j in range(i + 1, k + 1)]
+    ps, qs = [i for i, _ in order], [j for _, j in order]
+    idx = f"range(1, {k + 1})"
+    eye = f"list_transform({idx}, lambda i: list_transform({idx}, lambda j: CASE WHEN i = j THEN 1e0 ELSE 0e0 END))"
+
+    def right(m: str) -> str:
+        return (
+            f"list_transform({idx}, lambda i: list_transform({idx}, lambda j: CASE WHEN j = p THEN c * {m}[i][p] - s * {m}[i][q] "
+            f"WHEN j = q THEN s * {m}[i][p] + c * {m}[i][q] ELSE {m}[i][j] END))"
+        )
+
+    left = (
+        f"list_transform({idx}, lambda i: list_transform({idx}, lambda j: CASE WHEN i = p THEN c * b[p][j] - s * b[q][j] "
+        "WHEN i = q THEN s * b[p][j] + c * b[q][j] ELSE b[i][j] END))"
+    )
+    theta = "(a[q][q] - a[p][p]) / (2 * a[p][q])"
+    t = f"(CASE WHEN abs(a[p][q]) < 1e-300 THEN 0e0 ELSE CASE WHEN {theta} >= 0 THEN 1 ELSE -1 END / (abs({theta}) + sqrt({theta} * {theta} + 1)) END)"
+    return (
+        f"jac AS (SELECT {key}, 0 AS step, a, {eye} AS v FROM {src} UNION ALL SELECT {key}, step + 1, {left}, {right('v')} FROM ("
+        f"SELECT *, {right('a')} AS b FROM (SELECT *, t / sqrt(t * t + 1) AS s, 1 / sqrt(t * t + 1) AS c FROM (SELECT *, {t} AS t FROM ("
+        f"SELECT *, {ps}[step % {len(order)} + 1] AS p, {qs}[step % {len(order)} + 1] AS q FROM jac WHERE step < {sweeps * len(order)}))))), "
+        f"eig AS (SELECT {key}, i, a[i][i] AS val, list_transform({idx}, lambda j: v[j][i]) AS vec FROM jac, range(1, {k + 1}) r(i) "
+        f"WHERE step = {sweeps * len(order)}), "
+        f"pcs AS (SELECT {key}, row_number() OVER (PARTITION BY {key} ORDER BY val DESC) AS pc, val / sum(val) OVER (PARTITION BY {key}) * 100 AS share, "
+        "CASE WHEN abs(list_min(vec)) > list_max(vec) THEN -1 ELSE 1 END AS sgn, vec FROM eig)"
+    )
+
+
+def t_tail(t: str, dof: str) -> str:
+    """Two-sided tail of the t distribution for whole degrees of freedom, as a finite sum of cosines."""
+    th = f"atan(abs({t}) / sqrt({dof}))"
+    even = (
+        f"sin({th}) * list_sum(list_transform(range(0, ({dof} // 2)::BIGINT), lambda k: exp(lgamma(k + 0.5) - lgamma(k + 1)) / sqrt(pi()) * pow(cos({th}), 2 * k)))"
+    )
+    odd = (
+        f"2 / pi() * ({th} + sin({th}) * list_sum(list_transform(range(0, (({dof} - 1) // 2)::BIGINT), "
+        f"lambda k: sqrt(pi()) / 2 * exp(lgamma(k + 1) - lgamma(k + 1.5)) * pow(cos({th}), 2 * k + 1))))"
+    )
+    return f"1 - CASE WHEN {dof} % 2 = 0 THEN {even} ELSE {odd} END"
+
+
+def lasso(k: int, src: str = "rets", key: str = "panel_id", folds: int = 10, sweeps: int = 40) -> str:
+    """Contiguous cross-validation over 200 penalties; coordinate descent, one coordinate per recursion step.
+
+    ``prob`` holds one problem per left-out fold and, as fold 0, the whole panel.
+    ``best`` has the penalty with the lowest mean fold error and its coefficients.
+    """
+    cols = ["y"] + [f"x{i}" for i in range(1, k + 1)]
+    idx = f"range(1, {k + 1})"
+    x_of = ", ".join(cols[1:])
+    mats = "[" + ", ".join("[" + ", ".join(s(cols, a, b) + " / n" for b in cols[1:]) + "]" for a in cols[1:]) + "]"
+    rhs = "[" + ", ".join(s(cols, a, "y") + " / n" for a in cols[1:]) + "]"
+    means = "[" + ", ".join(f"m_{c}" for c in cols[1:]) + "]"
+    z = ", ".join(f"({c} - avg({c}) OVER w) / stddev_pop({c}) OVER w AS {c}" for c in cols[1:])
+    rho = f"c[j] - list_sum(list_transform({idx}, lambda i: CASE WHEN i = j THEN 0e0 ELSE g[j][i] * w[i] END))"
+    pred = " + ".join(f"w[{i}] * (x{i} - mx[{i}])" for i in range(1, k + 1))
+    return (
+        f"zz AS (SELECT {key}, date, y, {z}, ntile({folds}) OVER (PARTITION BY {key} ORDER BY date) AS fold FROM {src} WINDOW w AS (PARTITION BY {key})), "
+        f"cases AS (SELECT zz.{key}, f AS left_out, y, {x_of} FROM zz, range(0, {folds + 1}) r(f) WHERE fold <> f), "
+        f"gr AS (SELECT {key}, left_out, count(*) AS n, {gram(cols, 'cases')} FROM cases GROUP BY 1, 2), "
+        f"prob AS (SELECT {key}, left_out, m_y AS my, {means} AS mx, {mats} AS g, {rhs} AS c, al, pow(10, -4 + 5e0 * al / 199) AS alpha FROM gr, range(0, 200) r(al)), "
+        f"cd AS (SELECT {key}, left_out, al, 0 AS step, list_transform({idx}, lambda i: 0e0) AS w FROM prob UNION ALL "
+        f"SELECT {key}, left_out, al, step + 1, list_transform({idx}, lambda i: CASE WHEN i = j THEN "
+        f"sign(rho) * greatest(abs(rho) - alpha, 0) / g[j][j] ELSE w[i] END) FROM (SELECT *, {rho} AS rho FROM ("
+        f"SELECT cd.{key}, cd.left_out, cd.al, step, step % {k} + 1 AS j, w, g, c, alpha FROM cd JOIN prob "
+        f"ON cd.{key} = prob.{key} AND cd.left_out = prob.left_out AND cd.al = prob.al WHERE step < {sweeps * k}))), "
+        f"sol AS (SELECT prob.*, w FROM cd JOIN prob ON cd.{key} = prob.{key} AND cd.left_out = prob.left_out AND cd.al = prob.al WHERE step = {sweeps * k}), "
+        f"mse AS (SELECT sol.{key}, al, fold, avg(pow(y - (my + {pred}), 2)) AS e FROM sol JOIN zz ON sol.{key} = zz.{key} AND sol.left_out = zz.fold GROUP BY 1, 2, 3), "
+        f"pick AS (SELECT {key}, arg_min(al, e) AS al FROM (SELECT {key}, al, avg(e) AS e FROM mse GROUP BY 1, 2) GROUP BY 1), "
+        f"best AS (SELECT sol.* FROM sol JOIN pick ON sol.{key} = pick.{key} AND sol.al = pick.al WHERE left_out = 0)"
+    )
