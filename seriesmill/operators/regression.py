@@ -77,8 +77,11 @@ def _fit(n: np.ndarray, means: np.ndarray, s: np.ndarray) -> dict[str, np.ndarra
     scale = np.sqrt(np.einsum("nii->ni", sxx))
     scale[scale == 0] = 1.0
     unit = sxx / scale[:, :, None] / scale[:, None, :]
-    inv = np.linalg.pinv(unit, rcond=1e-12, hermitian=True) / scale[:, :, None] / scale[:, None, :]
-    rank = np.linalg.matrix_rank(unit, tol=1e-12, hermitian=True) if k else np.zeros(len(n), int)
+    val, vec = np.linalg.eigh(unit)
+    good = val > 1e-12 * k
+    rank = good.sum(1)
+    part = vec * np.where(good, 1.0 / np.where(good, val, 1.0), 0.0)[:, None, :]
+    inv = part @ np.swapaxes(vec, 1, 2) / scale[:, :, None] / scale[:, None, :]
     beta = np.einsum("nij,nj->ni", inv, sxy)
     rss = np.maximum(syy - np.einsum("ni,ni->n", beta, sxy), 0.0)
     dof = n - rank - 1

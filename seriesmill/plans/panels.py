@@ -277,7 +277,7 @@ def rich_cheap_path(spark, sf):
     return tidy(p.select("panel_id", "date", "resid", "cum_resid", "z", "z_cum"))
 
 
-def _lasso_sql(ctes: str) -> str:
+def _lasso_sql(ctes: str, l1: float = 1.0) -> str:
     sd = ", ".join(f"stddev_pop({x}) AS sd{i}, avg({x}) AS av{i}" for i, x in enumerate(X, 1))
     raw0 = "my - (" + " + ".join(f"w[{i}] / sd{i} * av{i}" for i in range(1, 6)) + ")"
     quad = " + ".join(f"w[{i}] * w[{j}] * g[{i}][{j}]" for i in range(1, 6) for j in range(1, 6))
@@ -289,7 +289,7 @@ def _lasso_sql(ctes: str) -> str:
         for i, x in enumerate(X, 1)
     ]
     return (
-        f"{ctes}, {Q.lasso(5)}, sds AS (SELECT panel_id, var_pop(y) AS vy, {sd} FROM rets GROUP BY 1), "
+        f"{ctes}, {Q.lasso(5, l1=l1)}, sds AS (SELECT panel_id, var_pop(y) AS vy, {sd} FROM rets GROUP BY 1), "
         f"bb AS (SELECT * FROM best JOIN sds USING (panel_id)) " + " UNION ALL ".join(rows)
     )
 
@@ -304,26 +304,38 @@ def lasso_cv_by_segment(spark, sf):
     return tidy(L.lasso_cv(segment_returns(spark, sf), "y", X))
 
 
-@query("lasso_summary")
+@query(
+    "lasso_summary",
+    f"WITH a AS ({_lasso_sql(_SEG)}) SELECT panel_id, max(alpha) AS alpha, max(r2) AS r2, "
+    "coalesce(string_agg(CASE WHEN selected THEN term END, ', ' ORDER BY term), 'None') AS selected, "
+    "coalesce(string_agg(CASE WHEN NOT selected THEN term END, ', ' ORDER BY term), 'None') AS dropped FROM a WHERE term <> 'intercept' GROUP BY 1",
+)
 def lasso_summary(spark, sf):
     return tidy(L.selection_summary(L.lasso_cv(segment_returns(spark, sf), "y", X)))
 
 
-@query("elastic_net_cv")
+@query("elastic_net_cv", _lasso_sql(_SEG, 0.5))
 def elastic_net_cv(spark, sf):
     return tidy(L.lasso_cv(segment_returns(spark, sf), "y", X, l1_ratio=0.5))
 
 
-@query("lasso_selected")
+@query("lasso_selected", f"WITH a AS ({_lasso_sql(_SEG)}) SELECT panel_id, term, selected AS kept FROM a WHERE term <> 'intercept'")
 def lasso_selected(spark, sf):
     cv = L.lasso_cv(segment_returns(spark, sf), "y", X).filter("term <> 'intercept'")
     pick = [c.withColumn("kept", F.lit(k)) for c, k in ((selected(cv), True), (dropped(cv), False))]
     return pick[0].unionByName(pick[1]).select("panel_id", "term", "kept")
 
 
-@query("lasso_path")
+@query(
+    "lasso_path",
+    f"{_SEG}, {Q.lasso(5)}, cv AS (SELECT panel_id, al, avg(e) AS cv_mse FROM mse GROUP BY 1, 2), "
+    "fullp AS (SELECT sol.panel_id, sol.al, alpha, w, cv_mse FROM sol JOIN cv ON sol.panel_id = cv.panel_id AND sol.al = cv.al WHERE left_out = 0) "
+    + " UNION ALL ".join(
+        f"SELECT panel_id, {Q.rnd('alpha')}, '{x}' AS term, {Q.rnd(f'w[{i}]', 'coef_std')}, {Q.rnd('cv_mse')} FROM fullp" for i, x in enumerate(X, 1)
+    ),
+)
 def lasso_path(spark, sf):
-    return tidy(L.lasso_path(segment_returns(spark, sf), "y", X), 8)
+    return tidy(L.lasso_path(segment_returns(spark, sf), "y", X))
 
 
 _PCA = (

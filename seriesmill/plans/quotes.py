@@ -364,6 +364,7 @@ _ALL_DAYS = "obs AS (SELECT asset AS series_id, row_number() OVER (PARTITION BY
 )
 def tvp_daily(spark, sf):
     """Batch twin of the stream over all days, the open last one included."""
+    E.use_utc(spark)
     t = S.table(spark, sf, "events").select(
         F.col("event_type").alias("asset"), "ts", "event_id", F.col("value").alias("price"),
         F.get_json_object("props", "$.k").try_cast("double").alias("k"),

@@ -226,7 +226,7 @@ def t_tail(t: str, dof: str) -> str:
     return f"1 - CASE WHEN {dof} % 2 = 0 THEN {even} ELSE {odd} END"
 
 
-def lasso(k: int, src: str = "rets", key: str = "panel_id", folds: int = 10, sweeps: int = 40) -> str:
+def lasso(k: int, src: str = "rets", key: str = "panel_id", folds: int = 10, sweeps: int = 40, l1: float = 1.0) -> str:
     """Contiguous cross-validation over 200 penalties; coordinate descent, one coordinate per recursion step.
 
     ``prob`` holds one problem per left-out fold and, as fold 0, the whole panel.
@@ -248,7 +248,7 @@ def lasso(k: int, src: str = "rets", key: str = "panel_id", folds: int = 10, swe
         f"prob AS (SELECT {key}, left_out, m_y AS my, {means} AS mx, {mats} AS g, {rhs} AS c, al, pow(10, -4 + 5e0 * al / 199) AS alpha FROM gr, range(0, 200) r(al)), "
         f"cd AS (SELECT {key}, left_out, al, 0 AS step, list_transform({idx}, lambda i: 0e0) AS w FROM prob UNION ALL "
         f"SELECT {key}, left_out, al, step + 1, list_transform({idx}, lambda i: CASE WHEN i = j THEN "
-        f"sign(rho) * greatest(abs(rho) - alpha, 0) / g[j][j] ELSE w[i] END) FROM (SELECT *, {rho} AS rho FROM ("
+        f"sign(rho) * greatest(abs(rho) - alpha * {l1}::DOUBLE, 0) / (g[j][j] + alpha * (1 - {l1}::DOUBLE)) ELSE w[i] END) FROM (SELECT *, {rho} AS rho FROM ("
         f"SELECT cd.{key}, cd.left_out, cd.al, step, step % {k} + 1 AS j, w, g, c, alpha FROM cd JOIN prob "
         f"ON cd.{key} = prob.{key} AND cd.left_out = prob.left_out AND cd.al = prob.al WHERE step < {sweeps * k}))), "
         f"sol AS (SELECT prob.*, w FROM cd JOIN prob ON cd.{key} = prob.{key} AND cd.left_out = prob.left_out AND cd.al = prob.al WHERE step = {sweeps * k}), "

@@ -23,6 +23,11 @@ def write_snapshot(df: DataFrame, path: str, fmt: str = "json") -> None:
     df.write.mode("overwrite").format(fmt).save(path)
 
 
+def write_series(df: DataFrame, path: str, by: str = "metric") -> None:
+    """Long series stored by metric, so a filter on the metric reads only its folder. No exchange before writing."""
+    df.write.mode("overwrite").partitionBy(by).parquet(path)
+
+
 def publish(df: DataFrame, path: str, section: str) -> None:
     """Replace one section of a table and leave the others as they are; repeating it changes nothing."""
     (

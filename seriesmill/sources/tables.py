@@ -60,8 +60,10 @@ def price_panel(spark: SparkSession, sf_dir: str, grain: str = "week") -> DataFr
     o = table(spark, sf_dir, "orders").select(
         period(F.col("o_orderdate"), grain).alias("date"), "o_orderpriority", cents(F.col("o_totalprice")).alias("c")
     )
-    agg = o.groupBy("date").agg(*_sums(F.col("o_orderpriority"), F.col("c"), F.lit(1)))
-    return agg.select(F.lit("ALL").alias("panel_id"), "date", *_means())
+    # The key comes out of the aggregate: a literal would be folded away, and joins on it would lose their key.
+    key = F.max(F.lit("ALL")).alias("panel_id")
+    agg = o.groupBy("date").agg(key, *_sums(F.col("o_orderpriority"), F.col("c"), F.lit(1)))
+    return agg.select("panel_id", "date", *_means())
 
 
 def _orders_by_segment(spark: SparkSession, sf_dir: str, grain: str) -> DataFrame:
@@ -148,20 +150,20 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def read_panel(spark: SparkSession, path: str, names: Sequence[str], fmt: str = "csv", panel_id: str = "ALL") -> DataFrame:
-    """Read a wide price file: columns are renamed by position, dates parsed, NaN made null.
+def read_panel(spark: SparkSession, path: str, names: Sequence[str], fmt: str = "csv") -> DataFrame:
+    """Read wide price files, one panel per file: columns are renamed by position, dates parsed, NaN made null.
 
-    Unparseable cells become null; the row order of the file does not matter
+    The file name is the panel id. Unparseable cells become null; the row order of the file does not matter
     because every later operator orders by date itself.
     """
     reader = spark.read
     raw = reader.option("header", True).csv(path) if fmt == "csv" else reader.format(fmt).load(path)
     if len(raw.columns) != 1 + len(names):
         raise ValueError(f"expected {1 + len(names)} columns, found {len(raw.columns)}")
-    raw = raw.toDF("date", *names)
+    raw = raw.select("*", F.col("_metadata.file_name").alias("panel_id")).toDF("date", *names, "panel_id")
     date = F.col("date").cast("date") if fmt != "csv" else F.try_to_timestamp(F.col("date")).cast("date")
     return raw.select(
-        F.lit(panel_id).alias("panel_id"),
+        "panel_id",
         date.alias("date"),
         *[F.nanvl(F.col(c).try_cast("double"), F.lit(None).cast("double")).alias(c) for c in names],
     )

@@ -19,8 +19,14 @@ def stream_table(spark: SparkSession, path: str, max_files: int | None = None) -
     return reader.parquet(f"{path[:-1]}[{path[-1]}]")
 
 
+def use_utc(spark: SparkSession) -> None:
+    """Zone-less event times are UTC; event-time windows need the session to read them so."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def tick_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """Events as quotes with an event-time column. Wall clocks are read in the session zone (UTC)."""
+    """Events as quotes with an event-time column."""
+    use_utc(spark)
     return stream_table(spark, path, max_files).select(
         F.col("event_type").alias("asset"),
         F.col("ts").cast("timestamp").alias("ts"),
