@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -111,7 +110,13 @@ def threshold_rule(df: DataFrame, rules: DataFrame, key: str = "asset", price: s
 
 
 def keyword_alerts(df: DataFrame, words: Sequence[str], text: str = "text") -> DataFrame:
-    """Rows whose text contains one of the phrases, ignoring case. Reads the whole text."""
-    hits = [F.when(F.contains(F.lower(F.col(text)), F.lit(w.lower())), F.lit(w)) for w in words]
-    pattern = "|".join(re.escape(w.lower()) for w in words)
-    return df.filter(F.lower(F.col(text)).rlike(pattern)).withColumn("matched", F.concat_ws(",", *hits))
+    """Rows whose text contains one of the phrases, ignoring case. Reads the whole text.
+
+    The lambda binds the lower-cased text, so it is made once per row and not once per phrase.
+    """
+
+    def hits(low: Column) -> Column:
+        return F.concat_ws(",", *[F.when(F.contains(low, F.lit(w.lower())), F.lit(w)) for w in words])
+
+    matched = F.transform(F.array(F.lower(F.col(text))), hits)[0]
+    return df.withColumn("matched", matched).filter(F.col("matched") != "")
