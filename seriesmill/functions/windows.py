@@ -124,7 +124,11 @@ def tag_recent(df: DataFrame, n: int = 12, keys=KEYS, order="date") -> DataFrame
 
 
 def standings(df: DataFrame, value: str, name: str, keys: Sequence[str]) -> DataFrame:
-    """Successive positions by value; the name breaks ties."""
+    """Successive positions by value; the name breaks ties.
+
+    Ranks whole groups, so aggregate first: it is meant for lists of components or
+    competitors. For the best of a large group use ``top_movers_by``.
+    """
     w = Window.partitionBy(*keys).orderBy(F.col(value).desc(), F.col(name))
     return df.withColumn("pos", F.row_number().over(w).cast("bigint"))
 

@@ -62,16 +62,21 @@ def briefing_inputs(ticks: DataFrame, as_of: str, move_pct: float, max_age: str,
     )
 
 
+# Title, width of the rules and of the columns of the text report.
+TITLE, RULE_WIDTH = "  MARKET DATA SNAPSHOT", 45
+NAME_WIDTH, PRICE_WIDTH, CHANGE_WIDTH = 20, 12, 8
+
+
 def report_row(name: Column, price: Column, change: Column, fmt: Column, error: Column) -> Column:
     """One text row: name on 20 places, price on 12, signed change on 8, or the first 40 characters of the error."""
-    bad = F.concat(F.lit("  "), X.pad_right(name, 20), F.lit("  Error: "), X.truncate(error, 40))
+    bad = F.concat(F.lit("  "), X.pad_right(name, NAME_WIDTH), F.lit("  Error: "), X.truncate(error, 40))
     ok = F.concat(
         F.lit("  "),
-        X.pad_right(name, 20),
+        X.pad_right(name, NAME_WIDTH),
         F.lit(" "),
-        X.pad_left(X.fmt_quote(price, fmt), 12),
+        X.pad_left(X.fmt_quote(price, fmt), PRICE_WIDTH),
         F.lit("   "),
-        X.pad_left(X.fmt_signed(change), 8),
+        X.pad_left(X.fmt_signed(change), CHANGE_WIDTH),
     )
     return F.when(error.isNotNull(), bad).otherwise(ok)
 
@@ -92,11 +97,11 @@ def render_report(rows: DataFrame, report: str = "report_id") -> DataFrame:
     )
 
 
-def frame_report(lines: DataFrame, as_of: Column, width: int = 45, report: str = "report_id") -> DataFrame:
+def frame_report(lines: DataFrame, as_of: Column, width: int = RULE_WIDTH, report: str = "report_id") -> DataFrame:
     """Add title, time stamp and rules above and below the body; sort by (ord, part) to print."""
     rule = F.repeat(F.lit("═"), width)
     ids = lines.select(report).distinct()
-    head = [rule, F.lit("  MARKET DATA SNAPSHOT"), F.concat(F.lit("  "), X.as_of_text(as_of)), rule]
+    head = [rule, F.lit(TITLE), F.concat(F.lit("  "), X.as_of_text(as_of)), rule]
     top = ids.select(report, F.lit(-1).alias("ord"), F.posexplode(F.array(*head)).alias("part", "line"))
     end = ids.select(report, F.lit(2147483647).alias("ord"), F.posexplode(F.array(F.lit(""), rule)).alias("part", "line"))
     return lines.unionByName(top).unionByName(end)

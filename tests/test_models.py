@@ -264,6 +264,18 @@ def test_filter_and_smoother(wdf, walk):
     assert np.allclose(f[f.series_id == "v"].sort_values("date").innov, 2 * w.innov, atol=1e-6)
 
 
+def test_innovations_use_the_betas_of_the_row_before(wdf):
+    f = K.tvp_predictions(K.tvp_filter(wdf, "y", ["x1", "x2"], 0.01, 0.25).drop("y"), ["x1", "x2"])
+    j = f.join(wdf, ["series_id", "date"])
+    gap = F.col("y") - F.col("prior_beta")[0] * F.col("x1") - F.col("prior_beta")[1] * F.col("x2") - F.col("innov")
+    assert j.agg(F.max(F.abs(gap))).first()[0] < 1e-9
+
+
+def test_filter_refuses_repeated_dates(wdf):
+    with pytest.raises(Exception, match="must be unique"):
+        K.tvp_filter(wdf.unionByName(wdf), "y", ["x1", "x2"], 0.01, 0.25).count()
+
+
 def test_filter_reads_a_series_in_small_batches(spark, wdf):
     want = K.tvp_filter(wdf, "y", ["x1", "x2"], 0.01, 0.25).select("series_id", "date", "innov").toPandas()
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
