@@ -187,10 +187,12 @@ def snapshot_table(spark, sf):
     "row_number() OVER (PARTITION BY asset ORDER BY date DESC) AS rn FROM closes), "
     "t AS (SELECT asset, list(value ORDER BY date) AS trend FROM c WHERE rn <= 8 GROUP BY 1) "
     f"SELECT asset, value AS price, {Q.rnd('value - p', 'change')}, {Q.rnd('(value - p) / p * 100', 'change_pct')}, "
-    "CASE WHEN value >= p THEN 'positive' ELSE 'negative' END AS class, trend FROM c JOIN t USING (asset) WHERE rn = 1",
+    "CASE WHEN value >= p THEN 'positive' ELSE 'negative' END AS class, trend[1] AS trend_first, trend[len(trend)] AS trend_last, len(trend) AS trend_n FROM c JOIN t USING (asset) WHERE rn = 1",
 )
 def cards(spark, sf):
-    return tidy(M.cards(M.daily_closes(S.ticks(spark, sf))), exact=["price"])
+    c = M.cards(M.daily_closes(S.ticks(spark, sf)))
+    ends = {"trend_first": F.element_at("trend", 1), "trend_last": F.element_at("trend", -1), "trend_n": F.size("trend")}
+    return tidy(c.withColumns(ends).drop("trend"), exact=["price", "trend_first", "trend_last"])
 
 
 @query(

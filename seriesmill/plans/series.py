@@ -401,9 +401,11 @@ def minmax(spark, sf):
     return tidy(W.minmax(W.last_n(S.supplier_series(spark, sf), 8)).select("series_id", "date", "scaled"))
 
 
-@query("sparkline", f"{_S}, {_L8} SELECT series_id, list(value ORDER BY date) AS trend FROM l8 GROUP BY 1")
+@query("sparkline", f"{_S}, {_L8} SELECT series_id, row_number() OVER (PARTITION BY series_id ORDER BY date) - 1 AS pos, value FROM l8")
 def sparkline(spark, sf):
-    return A.sparkline(S.supplier_series(spark, sf), 8)
+    """The trend arrays, one row per point."""
+    t = A.sparkline(S.supplier_series(spark, sf), 8)
+    return tidy(t.select("series_id", F.posexplode("trend").alias("pos", "value")), exact=["value"])
 
 
 @query(
