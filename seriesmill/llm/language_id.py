@@ -21,19 +21,19 @@ import itertools
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesmill.llm.common import BatchWriter, rows_in
+from seriesmill.llm.common import rows_in, texts
 
 UNKNOWN = "und"
 BUCKETS = 1 << 15
 ORDERS = (1, 2, 3, 4)
-#: Runner-up within this share of the winner's lead over an average bit: ambiguous.
-AMBIGUOUS = 0.15
-PREDICTED = "doc_id bigint, lang_pred string, score double, margin double, ambiguous boolean"
+#: A runner-up with so little more loss than the winner makes a prediction ambiguous.
+AMBIGUOUS = 0.05
 LETTER = regex.compile(r"\p{L}")
 
 
@@ -138,24 +138,23 @@ def fit_counts(languages: list[str], counts: list[np.ndarray]) -> CodeModel:
     return CodeModel(languages, words, weights, np.maximum(trust, 1e-9))
 
 
-def predict(docs: DataFrame, model: CodeModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, lang_pred, score, margin, ambiguous), a row per document. The model is a few megabytes per ten languages."""
-    spark = docs.sparkSession
+def predictor(spark: SparkSession, model: CodeModel):
+    """A vectorised function from a text column to (lang_pred, score, margin, ambiguous). The model is a few megabytes per
+    ten languages, whatever the number of documents."""
     shared = spark.sparkContext.broadcast(model)
-    schema = pa.schema([("doc_id", pa.int64()), ("lang_pred", pa.string()), ("score", pa.float64()), ("margin", pa.float64()), ("ambiguous", pa.bool_())])
 
-    def run(batches):
-        own = shared.value
-        out = BatchWriter(schema)
-        for doc_id, text in rows_in(batches):
-            out.add(64, doc_id, *own.predict(text))
-            if out.full():
-                yield out.take()
-        if out.size:
-            yield out.take()
-
-    own = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return own.mapInArrow(run, PREDICTED)
+    @F.pandas_udf("lang_pred string, score double, margin double, ambiguous boolean")
+    def language(text: pd.Series) -> pd.DataFrame:
+        rows = [shared.value.predict(t) for t in text]
+        return pd.DataFrame(rows, columns=["lang_pred", "score", "margin", "ambiguous"])
+
+    return language
+
+
+def predict(docs: DataFrame, model: CodeModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, lang_pred, score, margin, ambiguous), a row per document."""
+    own = texts(docs, id_col, text_col)
+    return own.select("doc_id", predictor(docs.sparkSession, model)("text").alias("p")).select("doc_id", "p.*")
 
 
 def held_out(id_col: str = "doc_id"):

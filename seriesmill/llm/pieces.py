@@ -109,11 +109,14 @@ class PieceModel:
         self.bytes_ids = {int(p[3:5], 16): i for i, (p, t) in enumerate(zip(self.pieces, self.types)) if t == BYTE}
         self.byte_of = {i: bytes([b]) for b, i in self.bytes_ids.items()}
         self.unk, self.eos = self.types.index(UNKNOWN), trainer.get(42, 2)
-        # Sizes that pieces with given last two characters can have, longest first.
+        # Sizes that pieces with given last three (or two) characters can have, longest first.
         sizes: dict[str, set[int]] = {}
         for p in self.rank:
-            sizes.setdefault(p[-2:], {1}).add(len(p))
-        self.sizes = {k: tuple(sorted(v, reverse=True)) for k, v in sizes.items()}
+            sizes.setdefault(p[-3:], {1}).add(len(p))
+        for tail, known in sizes.items():
+            if tail[-2:] in self.rank:
+                known.add(2)
+        self.sizes = {k: tuple(sorted(v, reverse=True)) for k, v in sizes.items() if len(k) > 1}
         self._walked: tuple[str, list[int], list[str]] = "", [0], [""]
         # No piece reaches from other text into a following space or across a line feed:
         # such places cut the text into chunks that encode independently.
@@ -260,7 +263,8 @@ class PieceModel:
         del counts[shared + 1 :], last[shared + 1 :]
         rank, sizes, fits = self.rank, self.sizes, self._fits
         for end in range(shared + 1, len(chunk) + 1):
-            for size in sizes.get(chunk[end - 2 : end], (1,)) if end > 1 else (1,):
+            tail = chunk[end - 3 : end] if end > 2 else chunk[:end]
+            for size in sizes.get(tail) or sizes.get(tail[1:], (1,)):
                 start = end - size
                 if start < 0:
                     continue

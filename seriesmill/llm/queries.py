@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesmill.llm import chat_format, fingerprints, language_id, packing, sentencepiece_spans, token_counts, vantage
+from seriesmill.llm import chat_format, fingerprints, language_id, line_templates, ngram_join, packing, sentencepiece_spans, substring_dedup, token_counts, vantage
 from seriesmill.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,6 +54,12 @@ def op3_vantage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vantage.nearest(rows, rows.where(F.col("vec_id") % 100 == 0), NEIGHBOURS, RELAX)
 
 
+@query
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose five-word shingle sets have a Jaccard similarity of 0.8 or more."""
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 @query
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from the labelled documents that are not held out."""
@@ -63,6 +69,12 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score", "margin", "ambiguous")
 
 
+@query
+def op6_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of templates that recur across documents."""
+    return line_templates.dropped_lines(table(spark, sf_dir, "documents")).select("doc_id", "line_no", "leaf", "template_no", "n_docs")
+
+
 @query
 def op7_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and of its edited text, with their likeness."""
@@ -70,6 +82,13 @@ def op7_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint", "near_edited", "near_next")
 
 
+@query
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of repeated sentences and lines, with their place in the original text."""
+    runs = substring_dedup.repeated_runs(table(spark, sf_dir, "documents"))
+    return runs.select("doc_id", "start", "length", "n_units", "n_words", "kept_doc_id")
+
+
 @query
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of every document, and the longest prefix within the limit."""
@@ -111,3 +130,25 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
       || replace(replace(text, '&', '&amp;'), '<|', '&lt;|') || '<|im_end|>' || chr(10)))::BIGINT AS formatted_chars
 FROM turns GROUP BY conv_id
 """
+
+ORACLES["op8_substring_dedup"] = r"""
+WITH cut AS (
+  SELECT doc_id, regexp_extract_all(text, '[^.!?;\n]*[.!?;\n]+|[^.!?;\n]+') AS us FROM documents
+), u0 AS (
+  SELECT doc_id, unnest(us) AS unit, unnest(generate_series(1, len(us))) AS k FROM cut
+), u1 AS (
+  SELECT doc_id, k, length(unit) AS len,
+    coalesce(sum(length(unit)) OVER (PARTITION BY doc_id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start,
+    trim(regexp_replace(lower(trim(unit, ' ' || chr(9) || chr(13) || chr(10) || '.!?;')), '\s+', ' ', 'g')) AS norm
+  FROM u0
+), u2 AS (
+  SELECT *, len(string_split(norm, ' ')) AS words, row_number() OVER (PARTITION BY doc_id ORDER BY k) AS place FROM u1 WHERE norm <> ''
+), ranked AS (
+  SELECT *, row_number() OVER w AS nth, first_value(doc_id) OVER w AS first_doc FROM u2 WINDOW w AS (PARTITION BY norm ORDER BY doc_id, place)
+), islands AS (
+  SELECT *, place - row_number() OVER (PARTITION BY doc_id ORDER BY place) AS island FROM ranked WHERE nth > 1
+)
+SELECT doc_id, min(start)::BIGINT AS start, (max(start + len) - min(start))::BIGINT AS length, count(*)::BIGINT AS n_units,
+  sum(words)::BIGINT AS n_words, arg_min(first_doc, place)::BIGINT AS kept_doc_id
+FROM islands GROUP BY doc_id, island HAVING sum(words) >= 25
+"""

@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 from seriesmill.llm.common import BatchWriter, ChunkMemo, groups_of, rows_in, texts, worker_cache
 from seriesmill.llm.pieces import SPACE, PieceModel
 
-#: Characters of chunks (and 16 per chunk) that a worker remembers; about 100 MB with the results.
-MEMO = 10_000_000
+#: Characters of chunks (and 16 per chunk) that a worker remembers; about 180 MB with the results.
+MEMO = 20_000_000
 TABLE = "doc_id bigint, n_bytes bigint, n_chars bigint, n_tokens bigint, cut_chars bigint, steps binary"
 
 
