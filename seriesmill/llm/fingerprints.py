@@ -22,8 +22,8 @@ from pyspark.sql.window import Window
 from seriesmill.llm.common import WORD_SEPARATORS, texts
 
 BINS, BITS, WORDS = 256, 8, 5
-#: Documents per range of ids; at most so many ranges.
-RANGE_ROWS, MAX_RANGES = 20_000, 2_000
+#: Documents per range of ids; ranges at most.
+RANGE_ROWS, MAX_RANGES = 5_000, 2_000
 
 
 def shingle_hashes(text: Column, words: int = WORDS) -> Column:
@@ -81,72 +81,82 @@ def densified(minima: Column, bins: int = BINS) -> Column:
     return _let(minima, fill)
 
 
-def packed(values: Column, bits: int = BITS) -> Column:
-    """The low bits of all values as one hexadecimal text, two digits a bin."""
-    if bits != 8:
-        raise ValueError("eight bits a bin are packed")
-    return F.lower(F.array_join(F.transform(values, lambda v: F.lpad(F.hex(v.bitwiseAND(255)), 2, "0")), ""))
+def low_bits(text: Column, bins: int = BINS) -> Column:
+    """The stored low bits of each bin as numbers; no element for a text without words."""
+    bits = lambda v: v.bitwiseAND((1 << BITS) - 1).cast("smallint")
+    return _let(bin_minima(shingle_hashes(text), bins), lambda m: F.when(F.size(m) == 0, F.array().cast("array<smallint>")).otherwise(F.transform(densified(m, bins), bits)))
+
+
+def packed(values: Column) -> Column:
+    """Stored bits as one hexadecimal text, two digits a bin; the empty text for no bins."""
+    digits = F.array(*[F.lit(f"{b:02x}") for b in range(1 << BITS)])
+    return F.array_join(F.transform(values, lambda v: F.get(digits, v.cast("int"))), "")
 
 
 def fingerprint(text: Column, bins: int = BINS) -> Column:
-    """The fingerprint of a text; the empty text for a text without words."""
-    return _let(bin_minima(shingle_hashes(text), bins), lambda m: F.when(F.size(m) == 0, F.lit("")).otherwise(packed(densified(m, bins))))
+    """The fingerprint of a text."""
+    return packed(low_bits(text, bins))
 
 
-def likeness(a: Column, b: Column, bins: int = BINS, bits: int = BITS) -> Column:
-    """Estimated Jaccard similarity of the shingle sets: share of equal bins, freed of chance agreement, within 0 and 1."""
-    places = F.sequence(F.lit(1), F.lit(bins))
-    same = F.size(F.filter(places, lambda i: F.substr(a, 2 * i - 1, F.lit(2)) == F.substr(b, 2 * i - 1, F.lit(2))))
-    chance = 1.0 / (1 << bits)
-    raw = (same / F.lit(float(bins)) - chance) / (1.0 - chance)
-    return F.when((a == "") & (b == ""), 1.0).when((a == "") | (b == ""), 0.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), raw)))
+def likeness(a: Column, b: Column) -> Column:
+    """Estimated Jaccard similarity of the shingle sets behind two arrays of stored bits: share of equal bins, freed of
+    chance agreement, within 0 and 1."""
+    same = F.size(F.filter(a, lambda v, i: v == F.get(b, i)))
+    chance = 1.0 / (1 << BITS)
+    raw = (same / F.size(a) - chance) / (1.0 - chance)
+    both, none = (F.size(a) == 0) & (F.size(b) == 0), (F.size(a) == 0) | (F.size(b) == 0)
+    return F.when(both, 1.0).when(none, 0.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), raw)))
 
 
-def with_next(docs: DataFrame, carry: list[str]) -> DataFrame:
-    """Adds ``next_<c>`` for the columns in ``carry``: those of the next document in descending doc_id, after the last the first.
+def _with_borders(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, range, border): ranges of ids, each with a copy of the first document of the range that follows it.
 
-    Documents are cut into ranges of ids (bounds from an approximate quantile); the first document of each range is
-    copied behind the end of the range before it. One shuffle; no range depends on the number of equal texts.
+    Bounds come from an approximate quantile, so they are ids of the table and no range is empty.
     """
     spark = docs.sparkSession
-    n, least = docs.agg(F.count(F.lit(1)), F.min("doc_id")).first()
+    n, least = docs.agg(F.count("doc_id"), F.min("doc_id")).first()
     ranges = max(1, min(MAX_RANGES, n // RANGE_ROWS))
-    cuts = []
-    if ranges > 1:
-        at = [i / ranges for i in range(1, ranges)]
-        cuts = sorted({int(b) for b in docs.agg(F.percentile_approx("doc_id", at, 10_000)).first()[0] or []} - {least})
+    at = [i / ranges for i in range(1, ranges)] or [0.5]
+    cuts = sorted({int(b) for b in docs.agg(F.percentile_approx("doc_id", at, 10_000)).first()[0] or []} - {least})
     bound = F.array(*[F.lit(c).cast("bigint") for c in cuts]).cast("array<bigint>")
-    where = F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(F.size(F.filter(bound, lambda b: b <= F.col("doc_id")))) if cuts else F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(F.lit(0))
-    ranged = docs.withColumn("range", where)
-    # Descending ids, nulls last; equal ids by text.
-    first = F.max(F.struct("doc_id", *carry)).alias("first")
-    firsts = ranged.groupBy("range").agg(first)
-    filled = [r["range"] for r in firsts.select("range").collect()]
-    goes_to = {r: min((x for x in filled if x > r), default=min(filled)) for r in filled}
-    pairs = spark.createDataFrame(list(goes_to.items()), "range int, to int") if filled else spark.createDataFrame([], "range int, to int")
-    borders = firsts.join(F.broadcast(pairs), "range").select(F.col("to").alias("range"), F.lit(True).alias("border"), "first.*")
-    own = ranged.select("range", F.lit(False).alias("border"), "doc_id", *carry)
-    order = Window.partitionBy("range").orderBy("border", F.col("doc_id").desc_nulls_last(), *[F.col(c).desc_nulls_last() for c in carry])
-    nexts = [F.lead(c).over(order).alias(f"next_{c}") for c in carry]
-    return own.unionByName(borders).select("*", *nexts).where(~F.col("border")).drop("range", "border")
-
-
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, text, fingerprint)."""
+    ranged = docs.withColumn("range", F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(F.size(F.filter(bound, lambda b: b <= F.col("doc_id")))))
+    # The first in descending order; of equal ids the largest text.
+    firsts = ranged.groupBy("range").agg(F.max(F.struct("doc_id", "text")).alias("first"))
+    filled = [r["range"] for r in ranged.select("range").distinct().collect()]  # at most MAX_RANGES + 1
+    after = {r: min((x for x in filled if x > r), default=min(filled)) for r in filled}
+    pairs = spark.createDataFrame(list(after.items()), "range int, to int")
+    borders = firsts.join(F.broadcast(pairs), "range").select("first.doc_id", "first.text", F.col("to").alias("range"), F.lit(True).alias("border"))
+    return ranged.select("doc_id", "text", "range", F.lit(False).alias("border")).union(borders)
+
+
+def with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, n_chars, edited, fingerprint, edited_fingerprint, near_edited, near_next), a row per document.
+
+    ``edited`` is the text with its second half replaced by the beginning of the next document in descending doc_id
+    (after the last: the first; equal ids by descending text). Fingerprints of the texts are made once, before the one
+    shuffle, and travel along as numbers.
+    """
     own = texts(docs, id_col, text_col).withColumn("text", F.coalesce("text", F.lit("")))
-    return own.withColumn("fingerprint", fingerprint(F.col("text")))
-
-
-def with_edits(marked: DataFrame) -> DataFrame:
-    """Adds the text with its second half replaced by the beginning of the next document, its fingerprint and both likenesses."""
-    chained = with_next(marked, ["text", "fingerprint"])
+    marked = _with_borders(own).withColumn("bits", low_bits(F.col("text")))
+    order = Window.partitionBy("range").orderBy("border", F.col("doc_id").desc_nulls_last(), F.col("text").desc())
+    nexts = [F.lead(c).over(order).alias(f"next_{c}") for c in ("text", "bits")]
+    chained = marked.select("*", *nexts).where(~F.col("border"))
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substr("text", F.lit(1), n - half), F.substr("next_text", F.lit(1), half))
-    out = chained.select("doc_id", n.cast("bigint").alias("n_chars"), edited.alias("edited"), "fingerprint", "next_fingerprint")
-    out = out.withColumn("edited_fingerprint", fingerprint(F.col("edited")))
+    out = chained.select("doc_id", n.cast("bigint").alias("n_chars"), edited.alias("edited"), "bits", "next_bits")
+    out = out.withColumn("edited_bits", low_bits(F.col("edited")))
     return out.select(
-        "*",
-        likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
-        likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"),
+        "doc_id",
+        "n_chars",
+        "edited",
+        packed(F.col("bits")).alias("fingerprint"),
+        packed(F.col("edited_bits")).alias("edited_fingerprint"),
+        likeness(F.col("bits"), F.col("edited_bits")).alias("near_edited"),
+        likeness(F.col("bits"), F.col("next_bits")).alias("near_next"),
     )
+
+
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, fingerprint), a row per document."""
+    return texts(docs, id_col, text_col).select("doc_id", fingerprint(F.coalesce("text", F.lit(""))).alias("fingerprint"))

@@ -78,7 +78,7 @@ def op6_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and of its edited text, with their likeness."""
-    out = fingerprints.with_edits(fingerprints.fingerprints(table(spark, sf_dir, "documents")))
+    out = fingerprints.with_edits(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint", "near_edited", "near_next")
 
 
