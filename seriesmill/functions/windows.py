@@ -134,8 +134,9 @@ def standings(df: DataFrame, value: str, name: str, keys: Sequence[str]) -> Data
 
 
 def share_of_max(df: DataFrame, value: str, keys: Sequence[str]) -> DataFrame:
-    top = F.max(value).over(Window.partitionBy(*keys))
-    return df.withColumn("share", F.round(F.try_divide(F.col(value) * 100, top), 0))
+    """Percent of the largest value of each group; the maximum is an aggregate joined back."""
+    top = df.groupBy(*keys).agg(F.max(value).alias("_top"))
+    return df.join(top, list(keys)).withColumn("share", F.round(F.try_divide(F.col(value) * 100, F.col("_top")), 0)).drop("_top")
 
 
 def clamp_share(df: DataFrame, scale: float, value="value") -> DataFrame:
@@ -143,11 +144,11 @@ def clamp_share(df: DataFrame, scale: float, value="value") -> DataFrame:
 
 
 def minmax(df: DataFrame, value="value", keys=KEYS) -> DataFrame:
-    """Scale to 0..1 inside each series; a series without range scales to 0."""
-    w = Window.partitionBy(*keys)
-    lo, hi = F.min(value).over(w), F.max(value).over(w)
+    """Scale to 0..1 inside each series; a series without range scales to 0. The range is an aggregate joined back."""
+    ends = df.groupBy(*keys).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
+    lo, hi = F.col("_lo"), F.col("_hi")
     rng = F.when(hi == lo, F.lit(1.0)).otherwise(hi - lo)
-    return df.withColumn("scaled", (F.col(value) - lo) / rng)
+    return df.join(ends, list(keys)).withColumn("scaled", (F.col(value) - lo) / rng).drop("_lo", "_hi")
 
 
 def header_flag(df: DataFrame, category: str, keys: Sequence[str], order: str) -> DataFrame:

@@ -65,7 +65,7 @@ def latest_prev(df: DataFrame, value: str = "value", keys: Sequence[str] = KEYS,
     partition sends at most two rows per series.
     """
     w = Window.partitionBy(*keys).orderBy(F.col(date).desc())
-    top = df.withColumn("_rn", F.row_number().over(w)).filter("_rn <= 2")
+    top = df.filter(F.col(value).isNotNull()).withColumn("_rn", F.row_number().over(w)).filter("_rn <= 2")
     first, second = F.col("_rn") == 1, F.col("_rn") == 2
     g = top.groupBy(*keys).agg(
         F.max(F.when(first, F.col(value))).alias("current"),
@@ -135,10 +135,10 @@ def peak_trough(df: DataFrame, base_date: str, value: str = "value", keys: Seque
 
 
 def period_stats(df: DataFrame, as_of: str, value: str = "value", keys: Sequence[str] = KEYS, date: str = "date") -> DataFrame:
-    """Last value, all-time high and low, and the range of the 52 weeks up to ``as_of``."""
+    """Last available value, all-time high and low, and the range of the 52 weeks up to ``as_of``."""
     v, d, day = F.col(value), F.col(date), F.lit(as_of).cast("date")
     in_year = (d > F.date_sub(day, 364)) & (d <= day)
-    return df.filter(d <= day).groupBy(*keys).agg(
+    return df.filter((d <= day) & v.isNotNull()).groupBy(*keys).agg(
         F.max_by(value, date).alias("last"),
         F.max(value).alias("high"),
         F.min(value).alias("low"),
@@ -173,8 +173,8 @@ def simple_ols(df: DataFrame, y: str, x: str, keys: Sequence[str]) -> DataFrame:
 
 
 def implied_move(df: DataFrame, y: str, x: str, keys: Sequence[str], date: str = "date") -> DataFrame:
-    """End points of the regression line and, for the latest point, the move it implies against the actual one."""
-    fit = df.groupBy(*keys).agg(
+    """End points of the regression line and, for the latest complete pair, the move it implies against the actual one."""
+    fit = df.filter(F.col(y).isNotNull() & F.col(x).isNotNull()).groupBy(*keys).agg(
         F.regr_slope(y, x).alias("slope"),
         F.regr_intercept(y, x).alias("intercept"),
         F.min(x).alias("x_lo"),
@@ -232,7 +232,8 @@ def domain(df: DataFrame, value: str = "value", keys: Sequence[str] = KEYS) -> D
 
 
 def first_last(df: DataFrame, value: str = "value", keys: Sequence[str] = KEYS, date: str = "date") -> DataFrame:
-    return df.groupBy(*keys).agg(
+    """First and last available point of each series."""
+    return df.filter(F.col(value).isNotNull()).groupBy(*keys).agg(
         F.min(date).alias("first_date"),
         F.min_by(value, date).alias("first_value"),
         F.max(date).alias("last_date"),
@@ -275,20 +276,22 @@ def contribution(df: DataFrame, keys: Sequence[str], weight: str = "weight", cha
 
 
 def largest_since(df: DataFrame, value: str = "value", keys: Sequence[str] = KEYS, date: str = "date") -> DataFrame:
-    """Last earlier date with a value at least as large as the latest; null when the latest is a record."""
-    w = Window.partitionBy(*keys)
-    cur, cur_date = F.max_by(value, date).over(w), F.max(date).over(w)
-    d = df.filter(F.col(value).isNotNull()).withColumns({"_cur": cur, "_cd": cur_date})
+    """Last earlier date with a value at least as large as the latest; null when the latest is a record.
+
+    The latest point is an aggregate joined back, so a key with most of the rows is not gathered in one task.
+    """
+    d = df.filter(F.col(value).isNotNull())
+    latest = d.groupBy(*keys).agg(F.max_by(value, date).alias("_cur"), F.max(date).alias("_cd"))
     hit = (F.col(value) >= F.col("_cur")) & (F.col(date) < F.col("_cd"))
-    return d.groupBy(*keys).agg(
+    return d.join(latest, list(keys)).groupBy(*keys).agg(
         F.max("_cd").alias("date"), F.max("_cur").alias("current"), F.max(F.when(hit, F.col(date))).alias("largest_since")
     )
 
 
 def small_multiples(df: DataFrame, value: str = "value", keys: Sequence[str] = ("entity",), date: str = "date") -> DataFrame:
-    """Latest value and its change on the point before, which is the latest itself if there is only one."""
+    """Latest available value and its change on the one before, which is the latest itself if there is only one."""
     w = Window.partitionBy(*keys).orderBy(F.col(date).desc())
-    top = df.withColumn("_rn", F.row_number().over(w)).filter("_rn <= 2")
+    top = df.filter(F.col(value).isNotNull()).withColumn("_rn", F.row_number().over(w)).filter("_rn <= 2")
     g = top.groupBy(*keys).agg(
         F.max(F.when(F.col("_rn") == 1, F.col(value))).alias("latest"),
         F.max(F.when(F.col("_rn") == 2, F.col(value))).alias("_p"),
@@ -316,7 +319,7 @@ def top_movers_by(df: DataFrame, k: int, category: str, change: str = "pct", nam
 
 
 def sparkline(df: DataFrame, n: int = 8, value: str = "value", keys: Sequence[str] = KEYS, date: str = "date") -> DataFrame:
-    """The last ``n`` values of each series as an ordered array."""
-    last = W.last_n(df, n, keys, date)
+    """The last ``n`` available values of each series as an ordered array."""
+    last = W.last_n(df.filter(F.col(value).isNotNull()), n, keys, date)
     pts = F.array_sort(F.collect_list(F.struct(F.col(date).alias("d"), F.col(value).alias("v"))))
     return last.groupBy(*keys).agg(F.transform(pts, lambda p: p["v"]).alias("trend"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seriesmill.functions.scalars import nan_to
@@ -21,17 +21,18 @@ def drop_incomplete(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def clean_values(df: DataFrame, value: str = "value") -> DataFrame:
-    return df.withColumn(value, F.col(value).try_cast("double")).filter(F.col(value).isNotNull())
+    """Rows whose value is a number; empty texts, dashes and ``NaN`` are none."""
+    return df.withColumn(value, nan_to(F.col(value).try_cast("double"), None)).filter(F.col(value).isNotNull())
 
 
 def filter_metric(df: DataFrame, suffix: str, col: str) -> DataFrame:
     return df.filter(F.col(col).endswith(suffix))
 
 
-def min_points(df: DataFrame, n: int, keys: Sequence[str] = ("series_id",)) -> DataFrame:
-    """Keep the rows of series with at least ``n`` points (date grain)."""
-    cnt = F.count(F.lit(1)).over(Window.partitionBy(*keys))
-    return df.withColumn("points", cnt).filter(F.col("points") >= n)
+def min_points(df: DataFrame, n: int, keys: Sequence[str] = ("series_id",), value: str = "value") -> DataFrame:
+    """Keep the rows of series with at least ``n`` available points; the counts are joined back."""
+    counts = df.groupBy(*keys).agg(F.count(value).alias("points")).filter(F.col("points") >= n)
+    return df.join(counts, list(keys))
 
 
 def value_at(df: DataFrame, date: str, value: str = "value", keys: Sequence[str] = ("series_id",)) -> DataFrame:
@@ -86,13 +87,19 @@ def first_of_month(ts: Column | str) -> Column:
     return F.dayofmonth(F.col(ts) if isinstance(ts, str) else ts) == 1
 
 
+def is_selected(eps: float = 1e-6) -> Column:
+    """Whether a factor stays, by its standardised coefficient: the raw one depends on the factor's unit. Null: no."""
+    return F.coalesce(F.abs("coef_std") > eps, F.lit(False))
+
+
 def selected(coef: DataFrame, eps: float = 1e-6) -> DataFrame:
-    return coef.filter(F.abs("coef") > eps)
+    """Factors with a weight; the intercept is no factor."""
+    return coef.filter((F.col("term") != "intercept") & is_selected(eps))
 
 
 def dropped(coef: DataFrame, eps: float = 1e-6) -> DataFrame:
-    """Complement of ``selected`` over the same rows."""
-    return coef.filter(F.abs("coef") <= eps)
+    """Factors without one: the complement of ``selected`` over the factors."""
+    return coef.filter((F.col("term") != "intercept") & ~is_selected(eps))
 
 
 def zone(price: Column, lower: Column, upper: Column) -> Column:

@@ -90,9 +90,14 @@ def compare_betas(a: DataFrame, b: DataFrame, on: Sequence[str] = ("panel_id", "
 
 
 def union_latest(dfs: Sequence[DataFrame], keys: Sequence[str], values: Sequence[str]) -> DataFrame:
-    """Union of several loads in which a later load wins per key, by a mergeable aggregate."""
-    tagged = [d.select(*keys, *values).withColumn("_load", F.lit(i)) for i, d in enumerate(dfs)]
+    """Union of several loads in which a later load wins per key."""
+    tagged = [d.select(*keys, *values).withColumn("load", F.lit(i)) for i, d in enumerate(dfs)]
     u = tagged[0]
     for d in tagged[1:]:
         u = u.unionByName(d)
-    return u.groupBy(*keys).agg(*[F.max_by(v, "_load").alias(v) for v in values], F.max("_load").cast("bigint").alias("load"))
+    return latest_load(u, keys, values)
+
+
+def latest_load(df: DataFrame, keys: Sequence[str], values: Sequence[str], load: str = "load") -> DataFrame:
+    """Of rows that carry the number of their load, the latest per key, by a mergeable aggregate."""
+    return df.groupBy(*keys).agg(*[F.max_by(v, load).alias(v) for v in values], F.max(load).cast("bigint").alias("load"))

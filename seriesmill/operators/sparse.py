@@ -39,12 +39,13 @@ def merge(n: np.ndarray, means: np.ndarray, s: np.ndarray) -> tuple[float, np.nd
     return total, mean, s.sum(0) + np.einsum("f,fi,fj->ij", n, d, d)
 
 
-def path(g: np.ndarray, c: np.ndarray, alphas: np.ndarray, l1_ratio: float, tol: float = 1e-10, sweeps: int = 50_000) -> np.ndarray:
+def path(g: np.ndarray, c: np.ndarray, alphas: np.ndarray, l1_ratio: float, tol: float = 1e-10, sweeps: int = 50_000) -> tuple[np.ndarray, bool]:
     """Warm-started coordinate descent for a stack of problems at once.
 
     ``g`` (m, k, k) and ``c`` (m, k) are centred moments divided by the row count.
-    Returns (len(alphas), m, k) for penalties in the given, descending order.
+    Returns (len(alphas), m, k) for penalties in the given, descending order, and whether all of them settled.
     """
+    settled = True
     m, k = c.shape
     w = np.zeros((m, k))
     out = np.empty((len(alphas), m, k))
@@ -62,8 +63,10 @@ def path(g: np.ndarray, c: np.ndarray, alphas: np.ndarray, l1_ratio: float, tol:
                 w[:, j] = new
             if biggest < tol:
                 break
+        else:
+            settled = False
         out[i] = w
-    return out
+    return out, settled
 
 
 def cross_validate(n, means, s, alphas: np.ndarray, l1_ratio: float) -> dict[str, np.ndarray | float]:
@@ -78,7 +81,7 @@ def cross_validate(n, means, s, alphas: np.ndarray, l1_ratio: float) -> dict[str
     m, s, full = means / unit, s / unit[:, None] / unit, full / unit[:, None] / unit
     train = [merge(np.delete(n, i), np.delete(m, i, 0), np.delete(s, i, 0)) for i in range(len(n))]
     stack = np.stack([t[2] / t[0] for t in train] + [full / total])
-    w = path(stack[:, 1:, 1:], stack[:, 1:, 0], desc, l1_ratio)
+    w, settled = path(stack[:, 1:, 1:], stack[:, 1:, 0], desc, l1_ratio)
     mse = np.empty((len(desc), len(n)))
     for i, (_, tm, _) in enumerate(train):
         b = w[:, i]
@@ -93,6 +96,8 @@ def cross_validate(n, means, s, alphas: np.ndarray, l1_ratio: float) -> dict[str
         "path": w[:, -1],
         "mse": mse.mean(1),
         "alpha": float(desc[best]),
+        "n": int(total),
+        "converged": settled,
         "std": b,
         "raw": b / scale,
         "intercept": float(mean[0] - (b / scale) @ mean[1:]),
@@ -112,21 +117,30 @@ def _key_type(df: DataFrame, keys: Sequence[str]) -> str:
 
 def lasso_cv(df: DataFrame, y: str, xs: Sequence[str], folds: int = 10, l1_ratio: float = 1.0, alphas=None,
              keys: Sequence[str] = KEYS, order: str = "date") -> DataFrame:
-    """(keys, term, coef_std, coef, alpha, r2, selected); one group holds ``folds`` rows, whatever the panel."""
+    """(keys, term, coef_std, coef, alpha, r2, selected, n, converged); one group holds ``folds`` rows, whatever the panel.
+
+    A panel with fewer than two rows has no fit: null coefficients, nothing selected, and ``n`` tells why.
+    """
     grid, names, keys = alpha_grid() if alphas is None else np.asarray(alphas, float), list(xs), list(keys)
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        r = cross_validate(*_read(pdf), grid, l1_ratio)
+        if pdf["n"].sum() < 2 or len(pdf) < 2:
+            nothing = np.full(len(names), np.nan)
+            r = {"std": nothing, "raw": nothing, "intercept": np.nan, "alpha": np.nan, "r2": np.nan, "n": int(pdf["n"].sum()), "converged": False}
+        else:
+            r = cross_validate(*_read(pdf), grid, l1_ratio)
         out = pd.DataFrame({"term": ["intercept", *names], "coef_std": [np.nan, *r["std"]], "coef": [r["intercept"], *r["raw"]]})
         out["alpha"], out["r2"] = r["alpha"], r["r2"]
         out["selected"] = [True, *(np.abs(r["std"]) > 1e-6)]
+        out["n"], out["converged"] = r["n"], r["converged"]
         for k in reversed(keys):
             out.insert(0, k, pdf[k].iloc[0])
         return out
 
     g = fold_grams(df, y, xs, folds, keys, order)
-    schema = f"{_key_type(df, keys)}, term string, coef_std double, coef double, alpha double, r2 double, selected boolean"
-    return g.groupBy(*keys).applyInPandas(fit, schema).withColumn("coef_std", F.nanvl("coef_std", F.lit(None).cast("double")))
+    schema = f"{_key_type(df, keys)}, term string, coef_std double, coef double, alpha double, r2 double, selected boolean, n bigint, converged boolean"
+    fits = g.groupBy(*keys).applyInPandas(fit, schema)
+    return fits.withColumns({c: F.nanvl(c, F.lit(None).cast("double")) for c in ("coef_std", "coef", "alpha", "r2")})
 
 
 def lasso_path(df: DataFrame, y: str, xs: Sequence[str], l1_ratio: float = 1.0, alphas=None, keys: Sequence[str] = KEYS,

@@ -31,6 +31,40 @@ def step(b: np.ndarray, p: np.ndarray, x: np.ndarray, y: float, h: float):
     return v, f, b + gain * v, p - gain[:, None] * px
 
 
+def filter_runs(y: np.ndarray, x: np.ndarray, starts: np.ndarray, q: float, h: float, before=None):
+    """Forward filter over consecutive series that begin at ``starts``; all of them step together.
+
+    ``before``: state (b, P) of the first one, if it goes on from earlier rows. Returns innovations, their variances,
+    betas, standard deviations, and the state behind the last row.
+    """
+    n, k = x.shape
+    lengths = np.diff(np.append(starts, n))
+    order = np.argsort(-lengths, kind="stable")  # the series still running are always the first ones
+    first, longest = starts[order], lengths[order]
+    b, p = np.zeros((len(starts), k)), np.tile(start(k)[1], (len(starts), 1, 1))
+    here = int(np.flatnonzero(order == 0)[0])
+    if before is not None:
+        b[here], p[here] = before[0], before[1] + np.eye(k) * q
+    innov, var, beta, sd = np.empty(n), np.empty(n), np.empty((n, k)), np.empty((n, k))
+    noise = np.eye(k) * q
+    for t in range(longest[0]):
+        m = int(np.searchsorted(-longest, -t, side="left"))  # lengths above t
+        rows = first[:m] + t
+        if t:
+            p[:m] += noise
+        xt = x[rows]
+        px = np.einsum("mij,mj->mi", p[:m], xt)
+        v = y[rows] - np.einsum("mi,mi->m", xt, b[:m])
+        f = np.einsum("mi,mi->m", xt, px) + h
+        gain = px / f[:, None]
+        b[:m] += gain * v[:, None]
+        p[:m] -= gain[:, :, None] * px[:, None, :]
+        innov[rows], var[rows], beta[rows] = v, f, b[:m]
+        sd[rows] = np.sqrt(np.maximum(np.einsum("mii->mi", p[:m]), 0.0))
+    at = int(np.flatnonzero(order == len(starts) - 1)[0])
+    return innov, var, beta, sd, (b[at].copy(), p[at].copy())
+
+
 def start(k: int) -> tuple[np.ndarray, np.ndarray]:
     return np.zeros(k), np.eye(k) * PRIOR_VARIANCE
 
@@ -65,40 +99,41 @@ def tvp_filter(df: DataFrame, y: str, xs: Sequence[str], q: float, h: float, key
     ``q`` is the variance of the beta steps (the same for all betas), ``h`` that of
     the observation. The first prediction is 0, so the first innovation is y itself.
     A task walks through its sorted series one Arrow batch after the other; a batch
-    may hold many short series or a part of a long one.
+    may hold many short series or a part of a long one. All series of a batch take their
+    steps together, so Python loops over dates and not over rows.
     """
     df, xs = _with_intercept(df, xs, intercept)
     keys, k = list(keys), len(xs)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        b, p = start(k)
-        noise = np.eye(k) * q
-        series, last = None, None
+        carried, last, state = None, None, start(k)
         for pdf in batches:
-            n = len(pdf)
-            if not n:
+            if not len(pdf):
                 continue
-            innov, var, beta, se = np.empty(n), np.empty(n), np.empty((n, k)), np.empty((n, k))
-            ids = list(zip(*[pdf[c] for c in keys]))
-            days, ys, rows = pdf[order].tolist(), pdf["_y"].tolist(), np.array(pdf["_x"].tolist(), float)
-            for i in range(n):
-                if ids[i] != series:
-                    series, (b, p) = ids[i], start(k)
-                elif days[i] <= last:
-                    raise ValueError("dates of a series must be unique")
-                else:
-                    p = p + noise
-                last = days[i]
-                innov[i], var[i], b, p = step(b, p, rows[i], ys[i], h)
-                beta[i], se[i] = b, p.diagonal()
-            out = pdf[[*keys, order]].assign(y=ys, innov=innov, innov_var=var)
-            out["beta"], out["se"] = list(beta), list(np.sqrt(np.maximum(se, 0.0)))
+            ids = pdf[keys].apply(tuple, axis=1).tolist() if len(keys) > 1 else [(v,) for v in pdf[keys[0]]]
+            new = np.array([True] + [a != b for a, b in zip(ids[1:], ids)])
+            days = pdf[order]
+            again = np.concatenate([[False], ~new[1:] & (days.to_numpy()[1:] <= days.to_numpy()[:-1])])
+            goes_on = ids[0] == carried
+            if again.any() or goes_on and days.iloc[0] <= last:
+                raise ValueError("dates of a series must be unique")
+            x = np.array(pdf["_x"].tolist(), float)
+            innov, var, beta, se, state = filter_runs(pdf["_y"].to_numpy(float), x, np.flatnonzero(new), q, h, state if goes_on else None)
+            carried, last = ids[-1], days.iloc[-1]
+            out = pdf[[*keys, order]].assign(y=pdf["_y"], innov=innov, innov_var=var)
+            out["beta"], out["se"] = list(beta), list(se)
             yield out
 
     schema = f"{_types(df, keys, order)}, y double, innov double, innov_var double, beta array<double>, se array<double>"
     return _by_series(df, y, xs, keys, order).mapInPandas(run, schema)
 
 
+def unique_dates(days: pd.Series) -> None:
+    """Two rows of one date have no order, so a recursion over them would have no defined result."""
+    if days.duplicated().any():
+        raise ValueError("dates of a series must be unique")
+
+
 def drift(info: np.ndarray, vec: np.ndarray, q: float) -> tuple[np.ndarray, np.ndarray]:
     """Information about the betas one step on; works for no information and for q = 0."""
     m = np.linalg.inv(np.eye(len(vec)) + q * info)
@@ -137,6 +172,7 @@ def tvp_smooth(df: DataFrame, y: str, xs: Sequence[str], q: float, h: float, key
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(order)
+        unique_dates(pdf[order])
         x = np.array(pdf["_x"].tolist(), float)
         beta, se = smooth(pdf["_y"].to_numpy(), x, q, h)
         out = pdf[[*keys, order]].copy()
@@ -181,37 +217,53 @@ def loglik(y: np.ndarray, x: np.ndarray, h: np.ndarray, q: np.ndarray) -> np.nda
     return total
 
 
-def maximise(y: np.ndarray, x: np.ndarray, points: int = 15, rounds: int = 4) -> tuple[float, float, float]:
-    """Grid in log10(h), log10(q) around the sample variance, refined around its best cell."""
+def maximise(y: np.ndarray, x: np.ndarray, points: int = 15, rounds: int = 4, widest: int = 4) -> tuple[float, float, float, bool]:
+    """Grid in log10(h), log10(q) around the sample variance, refined around its best cell.
+
+    While the best cell lies on an edge of the first grid, the grid moves on to that edge, ``widest`` times at most;
+    the last result tells whether it still lies there.
+    """
     var = float(np.var(y)) or 1.0
     xvar = float(np.mean(x * x)) or 1.0
     ch, cq = np.log10(var) - 1.0, np.log10(var / xvar) - 4.0
     wh, wq = 2.0, 5.0
-    for _ in range(rounds):
+    moves, edge, done = 0, False, 0
+    while done < rounds:
         gh, gq = np.meshgrid(np.linspace(ch - wh, ch + wh, points), np.linspace(cq - wq, cq + wq, points), indexing="ij")
         gh, gq = gh.ravel(), gq.ravel()
         ll = loglik(y, x, 10.0**gh, 10.0**gq)
         best = int(np.argmax(ll))
         ch, cq, top = gh[best], gq[best], float(ll[best])
-        wh, wq = wh * 2.5 / (points - 1), wq * 2.5 / (points - 1)
-    return 10.0**ch, 10.0**cq, top
+        row, column = divmod(best, points)
+        if done == 0:
+            edge = {row, column} & {0, points - 1} != set()
+            if edge and moves < widest:
+                moves += 1
+                continue
+        wh, wq, done = wh * 2.5 / (points - 1), wq * 2.5 / (points - 1), done + 1
+    return 10.0**ch, 10.0**cq, top, edge
 
 
 def tvp_mle(df: DataFrame, y: str, xs: Sequence[str], keys: Sequence[str] = KEYS, order: str = "date", points: int = 15,
             rounds: int = 4, intercept: bool = False) -> DataFrame:
-    """(keys, n, sigma2_obs, sigma2_state, loglik) by maximum likelihood per series."""
+    """(keys, n, sigma2_obs, sigma2_state, loglik, at_bound) by maximum likelihood per series.
+
+    ``at_bound``: the optimum lies at the end of the widest range searched, usually because the betas do not move.
+    """
     df, xs = _with_intercept(df, xs, intercept)
     keys = list(keys)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(order)
-        h, q, ll = maximise(pdf["_y"].to_numpy(), np.array(pdf["_x"].tolist(), float), points, rounds)
+        unique_dates(pdf[order])
+        h, q, ll, edge = maximise(pdf["_y"].to_numpy(), np.array(pdf["_x"].tolist(), float), points, rounds)
         out = pdf[keys].head(1).copy()
         out["n"], out["sigma2_obs"], out["sigma2_state"], out["loglik"] = len(pdf), h, q, ll
+        out["at_bound"] = edge
         return out
 
     types = ", ".join(f"{c} {df.schema[c].dataType.simpleString()}" for c in keys)
-    schema = f"{types}, n bigint, sigma2_obs double, sigma2_state double, loglik double"
+    schema = f"{types}, n bigint, sigma2_obs double, sigma2_state double, loglik double, at_bound boolean"
     return _grouped(df, y, xs, keys, order).applyInPandas(run, schema)
 
 

@@ -13,7 +13,7 @@ from seriesmill.operators import regression as R
 from seriesmill.operators import signals as G
 from seriesmill.operators import sparse as L
 from seriesmill.operators import tvp as K
-from seriesmill.operators.cleaning import dropped, drop_incomplete, select_factors, selected
+from seriesmill.operators.cleaning import drop_incomplete, is_selected, select_factors
 from seriesmill.plans import sql as Q
 from seriesmill.plans.registry import query, tidy
 from seriesmill.sources import tables as S
@@ -283,13 +283,13 @@ def _lasso_sql(ctes: str, l1: float = 1.0) -> str:
     quad = " + ".join(f"w[{i}] * w[{j}] * g[{i}][{j}]" for i in range(1, 6) for j in range(1, 6))
     lin = " + ".join(f"w[{i}] * c[{i}]" for i in range(1, 6))
     head = f"{Q.rnd('alpha')}, {Q.rnd(f'1 - (vy - 2 * ({lin}) + {quad}) / vy', 'r2')}"
-    rows = [f"SELECT panel_id, 'intercept' AS term, CAST(NULL AS DOUBLE) AS coef_std, {Q.rnd(raw0, 'coef')}, {head}, true AS selected FROM bb"]
+    rows = [f"SELECT panel_id, 'intercept' AS term, CAST(NULL AS DOUBLE) AS coef_std, {Q.rnd(raw0, 'coef')}, {head}, true AS selected, nn AS n, true AS converged FROM bb"]
     rows += [
-        f"SELECT panel_id, '{x}', {Q.rnd(f'w[{i}]', 'coef_std')}, {Q.rnd(f'w[{i}] / sd{i}', 'coef')}, {head}, abs(w[{i}]) > 1e-6 FROM bb"
+        f"SELECT panel_id, '{x}', {Q.rnd(f'w[{i}]', 'coef_std')}, {Q.rnd(f'w[{i}] / sd{i}', 'coef')}, {head}, abs(w[{i}]) > 1e-6, nn, true FROM bb"
         for i, x in enumerate(X, 1)
     ]
     return (
-        f"{ctes}, {Q.lasso(5, l1=l1)}, sds AS (SELECT panel_id, var_pop(y) AS vy, {sd} FROM rets GROUP BY 1), "
+        f"{ctes}, {Q.lasso(5, l1=l1)}, sds AS (SELECT panel_id, var_pop(y) AS vy, count(*) AS nn, {sd} FROM rets GROUP BY 1), "
         f"bb AS (SELECT * FROM best JOIN sds USING (panel_id)) " + " UNION ALL ".join(rows)
     )
 
@@ -321,9 +321,9 @@ def elastic_net_cv(spark, sf):
 
 @query("lasso_selected", f"WITH a AS ({_lasso_sql(_SEG)}) SELECT panel_id, term, selected AS kept FROM a WHERE term <> 'intercept'")
 def lasso_selected(spark, sf):
+    """Both filters of the factors as one flag, so the fit runs once."""
     cv = L.lasso_cv(segment_returns(spark, sf), "y", X).filter("term <> 'intercept'")
-    pick = [c.withColumn("kept", F.lit(k)) for c, k in ((selected(cv), True), (dropped(cv), False))]
-    return pick[0].unionByName(pick[1]).select("panel_id", "term", "kept")
+    return cv.select("panel_id", "term", is_selected().alias("kept"))
 
 
 @query(

@@ -208,7 +208,7 @@ def briefing_inputs(spark, sf):
 
 
 _ROWS = (
-    f"{_RULES}, rows_ AS (SELECT asset, day(date) AS ord, date, price, change_pct, {_ZONE} AS category FROM qc JOIN rules USING (asset)), "
+    f"{_RULES}, rows_ AS (SELECT asset, CAST(date - DATE '2000-01-01' AS BIGINT) AS ord, date, price, change_pct, {_ZONE} AS category FROM qc JOIN rules USING (asset)), "
     "flagged AS (SELECT *, category IS DISTINCT FROM lag(category) OVER (PARTITION BY asset ORDER BY ord) AS is_header FROM rows_)"
 )
 
@@ -217,7 +217,7 @@ def _report_rows(spark, sf) -> DataFrame:
     """One report per asset, one row per day, the zone of the close as its section."""
     q = M.quote_change(daily_quotes(spark, sf)).join(rules(spark), "asset")
     return q.select(
-        F.col("asset").alias("report_id"), F.dayofmonth("date").alias("ord"), F.col("date").cast("string").alias("name"),
+        F.col("asset").alias("report_id"), F.date_diff("date", F.lit("2000-01-01").cast("date")).alias("ord"), F.col("date").cast("string").alias("name"),
         C.zone(F.col("price"), F.col("lower"), F.col("upper")).alias("category"), (F.col("price") * 100).alias("price"), "change_pct",
         F.lit("price").alias("fmt"), F.lit(None).cast("string").alias("error"),
     )
@@ -352,7 +352,7 @@ _OBS = (
     "FROM kf JOIN obs ON obs.series_id = kf.series_id AND obs.t = kf.t",
 )
 def stream_tvp(spark, sf):
-    out = E.run_to_table(O.stream_tvp(O.daily_pairs(_tick_stream(spark, sf)), 0.001, 100.0), "innovations")
+    out = E.run_to_table(O.stream_tvp(O.daily_pairs(_tick_stream(spark, sf), decimals=2), 0.001, 100.0), "innovations")
     return tidy(out.select("asset", "date", "y", F.round("innov", 5).alias("innov"), F.col("beta")[0].alias("beta")), exact=["y"])
 
 
@@ -371,5 +371,5 @@ def tvp_daily(spark, sf):
         F.col("event_type").alias("asset"), "ts", "event_id", F.col("value").alias("price"),
         F.get_json_object("props", "$.k").try_cast("double").alias("k"),
     )
-    f = K.tvp_filter(O.daily_pairs(t), "y", ["x"], 0.001, 100.0, ["asset"]).drop("beta", "se")
+    f = K.tvp_filter(O.daily_pairs(t, decimals=2), "y", ["x"], 0.001, 100.0, ["asset"]).drop("beta", "se")
     return tidy(f.withColumns({"innov": F.round("innov", 5), "innov_var": F.round("innov_var", 3)}), exact=["y"])

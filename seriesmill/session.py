@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import re
 import uuid
 
 from pyspark.sql import SparkSession
@@ -30,18 +30,28 @@ def local_session(app: str = "seriesmill", cores: str = "*", shuffle_partitions:
 def shared_folder(spark: SparkSession) -> str:
     """Root of the folder every executor can reach.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only where that is unset
-    (a local test session) a fresh temporary folder is used.
+    The cluster names it in ``spark.checkpoint.dir``. Where that is unset, a session with a local master gets a fresh
+    folder below its own working files; any other master is refused, as executors would not see each other's disks.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or getattr(spark, "_seriesmill_shared", None)
     if not root:
-        root = tempfile.mkdtemp(prefix="seriesmill-")
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        root = f"{spark.sparkContext.getConf().get('spark.local.dir', '/tmp').split(',')[0]}/seriesmill-{uuid.uuid4().hex}"
         spark._seriesmill_shared = root
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(root)
     return root
 
 
+def clear_shared(spark: SparkSession, path: str) -> None:
+    """Remove a stored intermediate table or stream folder, once nothing reads it any more. Only below the shared folder."""
+    if not path.startswith(shared_folder(spark).rstrip("/") + "/"):
+        raise ValueError("not below the shared folder")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder."""
     return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"

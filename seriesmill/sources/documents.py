@@ -24,24 +24,26 @@ CARD_SCHEMA = (
 def read_series_json(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Nested series documents, one row per observation: (series_id, date, value).
 
-    Files are given in order and a later file replaces a series of an earlier one;
-    series without data replace nothing. The winner is picked by a mergeable
-    aggregate per series, never by sorting all rows of a series in one task.
+    Files are given in order and a later file replaces a series of an earlier one, as
+    does a later entry of the same file; series without data replace nothing. One reader
+    takes all files; their order is a small table by file name. The winner is picked by a
+    mergeable aggregate per series, never by sorting all rows of a series in one task.
     """
-    docs = None
-    for i, p in enumerate(paths):
-        d = spark.read.schema(SERIES_SCHEMA).option("multiLine", True).json(p).withColumn("file_no", F.lit(i))
-        docs = d if docs is None else docs.unionByName(d)
-    series = docs.select("file_no", F.explode("Results.series").alias("s")).select(
-        F.col("s.seriesID").alias("series_id"), "file_no", F.col("s.data").alias("data")
-    )
+    name = F.element_at(F.split(F.col("path"), "/"), -1)
+    given = [(p.rstrip("/").rsplit("/", 1)[-1], i) for i, p in enumerate(paths)]
+    if len({n for n, _ in given}) < len(given):
+        raise ValueError("files need different names, as their order goes by name")
+    order = spark.createDataFrame(given, "file string, file_no int")
+    docs = spark.read.schema(SERIES_SCHEMA).option("multiLine", True).json(list(paths)).withColumn("path", F.url_decode("_metadata.file_path"))
+    series = docs.withColumn("file", name).join(order, "file").select("file_no", F.posexplode("Results.series").alias("entry", "s"))
+    series = series.select(F.col("s.seriesID").alias("series_id"), "file_no", "entry", F.col("s.data").alias("data"))
     series = series.filter(F.size("data") > 0)
-    latest = series.groupBy("series_id").agg(F.max_by("data", "file_no").alias("data"))
+    latest = series.groupBy("series_id").agg(F.max_by("data", F.struct("file_no", "entry")).alias("data"))
     points = latest.select("series_id", F.explode("data").alias("p"))
     return points.select(
         "series_id",
         X.month_start(F.col("p.year").try_cast("int"), X.period_month(F.col("p.period"))).alias("date"),
-        F.col("p.value").try_cast("double").alias("value"),
+        X.nan_to(F.col("p.value").try_cast("double"), None).alias("value"),
     ).filter("date is not null and value is not null")
 
 
@@ -58,16 +60,21 @@ def decode_series_ids(series: DataFrame, industry: DataFrame, metric: DataFrame)
 
 
 def read_quotes(raw: DataFrame, body: str = "body", ticker: str = "ticker") -> DataFrame:
-    """Quote documents to (ticker, price, chart_prev, prev, error); a bad document becomes an error row."""
-    q = raw.select(ticker, F.from_json(body, QUOTE_SCHEMA).alias("q"))
+    """Quote documents to (ticker, price, chart_prev, prev, error); a bad document becomes an error row that tells why."""
+    q = raw.select(ticker, body, F.from_json(body, QUOTE_SCHEMA).alias("q"))
     meta = F.try_element_at(F.col("q.chart.result"), F.lit(1))["meta"]
     out = q.select(
         F.col(ticker).alias("ticker"),
         meta["regularMarketPrice"].alias("price"),
         meta["chartPreviousClose"].alias("chart_prev"),
         meta["previousClose"].alias("prev"),
+        F.when(F.col(body).isNull() | (F.trim(body) == ""), F.lit("no document"))
+        .when(F.try_parse_json(body).isNull(), F.lit("malformed document"))
+        .when(F.coalesce(F.size("q.chart.result"), F.lit(0)) <= 0, F.lit("no result in document"))
+        .when(meta["regularMarketPrice"].isNull(), F.lit("no price in document"))
+        .alias("error"),
     )
-    return out.withColumn("error", F.when(F.col("price").isNull(), F.lit("no price in document")))
+    return out
 
 
 def series_from_points(df: DataFrame, col: str, keep: tuple[str, ...] = ()) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import quote
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,7 +31,14 @@ def write_series(df: DataFrame, path: str, by: str = "metric") -> None:
 
 
 def publish(df: DataFrame, path: str, section: str) -> None:
-    """Replace one section of a table and leave the others as they are; repeating it changes nothing."""
+    """Replace one section of a table and leave the others as they are; repeating it changes nothing.
+
+    An empty result writes no file, so its old section is removed explicitly: it must not stay in place.
+    """
+    if df.isEmpty():
+        folder = df.sparkSession._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/section={quote(section, safe=' ')}")
+        folder.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(folder, True)
+        return
     (
         df.withColumn("section", F.lit(section))
         .write.mode("overwrite")

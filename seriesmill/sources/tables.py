@@ -21,14 +21,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def scaled(c: Column, decimals: int) -> Column:
+    """A number with so many decimal places as a whole number; ``rint`` stays in primitive arithmetic where ``round`` would
+    go through decimals. Only for columns that hold no more places: further ones would be lost."""
+    return F.rint(c * 10**decimals).cast("bigint")
+
+
 def cents(c: Column) -> Column:
-    """Whole cents; ``rint`` stays in primitive arithmetic where ``round`` would go through decimals."""
-    return F.rint(c * 100).cast("bigint")
+    """Whole cents of a column stored with two decimals."""
+    return scaled(c, 2)
 
 
-def mean_of(total_cents: Column, n: Column) -> Column:
-    """Mean in currency units from a sum of cents and a row count; null when n is 0."""
-    return F.try_divide(total_cents.cast("double"), n) / 100
+def mean_of(total: Column, n: Column, decimals: int = 2) -> Column:
+    """Mean in currency units from a sum of scaled numbers and a row count; null when n is 0."""
+    return F.try_divide(total.cast("double"), n) / 10**decimals
 
 
 def period(ts: Column, grain: str) -> Column:
@@ -150,18 +156,27 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def read_panel(spark: SparkSession, path: str, names: Sequence[str], fmt: str = "csv") -> DataFrame:
+def read_panel(spark: SparkSession, path: str, names: Sequence[str], fmt: str = "csv", date_format: str | None = None) -> DataFrame:
     """Read wide price files, one panel per file: columns are renamed by position, dates parsed, NaN made null.
 
-    The file name is the panel id. Unparseable cells become null; the row order of the file does not matter
-    because every later operator orders by date itself.
+    The file name is the panel id. Cells that are no number become null. A date that cannot be read (ISO, or
+    ``date_format``), or is missing, stops the job with its file and text: a row without a date would silently shift every return after it.
+    The row order of the file does not matter because every later operator orders by date itself.
     """
     reader = spark.read
     raw = reader.option("header", True).csv(path) if fmt == "csv" else reader.format(fmt).load(path)
     if len(raw.columns) != 1 + len(names):
         raise ValueError(f"expected {1 + len(names)} columns, found {len(raw.columns)}")
     raw = raw.select("*", F.col("_metadata.file_name").alias("panel_id")).toDF("date", *names, "panel_id")
-    date = F.col("date").cast("date") if fmt != "csv" else F.try_to_timestamp(F.col("date")).cast("date")
+    text = F.col("date").cast("string")
+    if fmt != "csv":
+        parsed = F.col("date").cast("date")
+    elif date_format:
+        parsed = F.try_to_timestamp("date", F.lit(date_format)).cast("date")
+    else:
+        parsed = F.try_to_timestamp("date").cast("date")
+    bad = F.raise_error(F.concat(F.lit("not a date in "), F.col("panel_id"), F.lit(": "), F.coalesce(text, F.lit("nothing"))))
+    date = F.coalesce(parsed, bad.cast("date"))
     return raw.select(
         "panel_id",
         date.alias("date"),

@@ -16,6 +16,7 @@ def stream_table(spark: SparkSession, path: str, max_files: int | None = None) -
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     # A file source needs a folder or a pattern; the pattern below matches just this path, file or folder.
+    path = path.rstrip("/")
     return reader.parquet(f"{path[:-1]}[{path[-1]}]")
 
 

@@ -11,20 +11,24 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from seriesmill.operators.tvp import start, step
-from seriesmill.sources.tables import cents, mean_of
+from seriesmill.sources.tables import mean_of, scaled
 from seriesmill.streaming.engine import use_rocksdb
 
 DELAY = "1 hour"
 
 
-def daily_pairs(ticks: DataFrame, delay: str = DELAY) -> DataFrame:
-    """Daily means per asset: (asset, date, y, x). Batch or stream; a day is released once the watermark has passed it."""
+def daily_pairs(ticks: DataFrame, delay: str = DELAY, decimals: int = 8) -> DataFrame:
+    """Daily means per asset: (asset, date, y, x). Batch or stream; a day is released once the watermark has passed it.
+
+    Sums are taken over whole numbers of the feed's smallest step, ``decimals`` places, so they do not depend on the
+    order of arrival; the default keeps eight places of values below about 10 billion.
+    """
     t = ticks.withColumn("ts", F.col("ts").cast("timestamp"))
     g = t.withWatermark("ts", delay).groupBy(F.window("ts", "1 day").alias("w"), "asset")
-    agg = g.agg(F.sum(cents(F.col("price"))).alias("p"), F.sum(cents(F.col("k"))).alias("k"), F.count(F.lit(1)).alias("n"))
+    agg = g.agg(F.sum(scaled(F.col("price"), decimals)).alias("p"), F.sum(scaled(F.col("k"), decimals)).alias("k"), F.count(F.lit(1)).alias("n"))
     return agg.select(
-        "asset", F.col("w.start").cast("date").alias("date"), mean_of(F.col("p"), F.col("n")).alias("y"),
-        mean_of(F.col("k"), F.col("n")).alias("x"),
+        "asset", F.col("w.start").cast("date").alias("date"), mean_of(F.col("p"), F.col("n"), decimals).alias("y"),
+        mean_of(F.col("k"), F.col("n"), decimals).alias("x"),
     )
 
 

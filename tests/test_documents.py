@@ -66,7 +66,7 @@ def test_quotes_and_errors(spark):
     assert len(t) == 8
     assert abs(t["^GSPC"].change_pct - 10) < 1e-12 and abs(t["^IXIC"].change_pct + 10) < 1e-12
     assert t["^TNX"].change_pct == 0.0 and t["^TNX"].error is None
-    assert t["^VIX"].error == t["CL=F"].error == "no price in document"
+    assert t["^VIX"].error == "malformed document" and t["CL=F"].error == "no result in document"
     assert t["DX-Y.NYB"].error == "no quote"
 
 

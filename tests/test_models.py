@@ -150,7 +150,7 @@ def test_lasso_cv_is_contiguous_cross_validation(df, panels):
         train = np.setdiff1d(np.arange(len(y)), test)
         zt, yt = z[train], y[train]
         zm, ym = zt.mean(0), yt.mean()
-        w = L.path(np.array([(zt - zm).T @ (zt - zm) / len(yt)]), np.array([(zt - zm).T @ (yt - ym) / len(yt)]), alphas, 1.0)[:, 0]
+        w = L.path(np.array([(zt - zm).T @ (zt - zm) / len(yt)]), np.array([(zt - zm).T @ (yt - ym) / len(yt)]), alphas, 1.0)[0][:, 0]
         pred = ym + (z[test] - zm) @ w.T
         err += ((y[test][:, None] - pred) ** 2).mean(0) / 10
     assert cv["alpha"].iloc[0] == pytest.approx(alphas[err.argmin()])
