@@ -53,7 +53,7 @@ def latest_pair(df: DataFrame, a: Column, b: Column, keys: Sequence[str], value:
 
 
 def as_of_rates(dates: DataFrame, fx: DataFrame, key: str, date: str = "date", rate: str = "rate") -> DataFrame:
-    """Rate in force on each (key, date): the latest quote on or before it.
+    """Rate in force on each (key, date): the latest quote on or before it, null before the first.
 
     Only the distinct (key, date) pairs enter the window, so its size follows the
     calendar and not the number of rows that need a rate.
@@ -75,6 +75,16 @@ def convert(df: DataFrame, fx: DataFrame, divisor: float, key: str, value: str =
     return df.join(rates, [key, date], "left").withColumn("converted", F.col(value) * F.col("rate") / divisor)
 
 
+def convert_stacked(rows: DataFrame, divisor: float, key: str, value: str = "value", date: str = "date", rate: str = "rate") -> DataFrame:
+    """The same for values and rates that come as rows of one table, each with the other column null: no join at all.
+
+    For values at calendar grain, as every row of a key enters one window.
+    """
+    w = Window.partitionBy(key).orderBy(F.col(date), F.col(rate).isNull()).rowsBetween(Window.unboundedPreceding, 0)
+    known = rows.withColumn(rate, F.last(rate, ignorenulls=True).over(w)).filter(F.col(value).isNotNull())
+    return known.withColumn("converted", F.col(value) * F.col(rate) / divisor)
+
+
 def unpivot(df: DataFrame, ids: Sequence[str], cols: Sequence[str], name: str = "series", value: str = "value") -> DataFrame:
     return df.unpivot(list(ids), list(cols), name, value)
 

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from seriesmill.functions import windows as W
 from seriesmill.operators.cleaning import drop_incomplete
 from seriesmill.operators.signals import rich_cheap
-from seriesmill.plans import panels, quotes, series  # noqa: F401  (they register their queries)
+from seriesmill.plans import landed, panels, quotes, series  # noqa: F401  (they register their queries)
 from seriesmill.plans.registry import ORACLES, QUERIES, tidy
 from seriesmill.sources import tables as S
 

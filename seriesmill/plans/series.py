@@ -342,10 +342,15 @@ _FX = (
     f"FROM (SELECT * FROM sectors WHERE entity <> '{S.TOTAL}') s ASOF LEFT JOIN fx ON s.entity = fx.entity AND s.date >= fx.date",
 )
 def convert_units(spark, sf):
-    """Monthly values converted with the weekly rate in force; 3.412 is the fixed unit divisor."""
-    s = C.exclude(S.sector_series(spark, sf), S.TOTAL).select("entity", "metric", "date", "value")
-    fx = S.segment_panels(spark, sf, "week").select(F.col("panel_id").alias("entity"), "date", F.col("y").alias("rate"))
-    return tidy(J.convert(s, fx, 3.412, "entity"), 2, exact=["value", "rate"])
+    """Monthly values converted with the weekly rate in force; 3.412 is the fixed unit divisor.
+
+    Each sum counts for its month and priority and for its week, so one pass over the orders gives both.
+    """
+    both = F.array(F.struct("metric", F.col("month").alias("date")), F.struct(F.lit(None).cast("string").alias("metric"), F.col("week").alias("date")))
+    rows = S.segment_calendar(spark, sf).select("entity", "cents", "n", F.inline(both)).groupBy("entity", "metric", "date").agg(S.mean_of(F.sum("cents"), F.sum("n")).alias("m"))
+    is_rate = F.col("metric").isNull()
+    stacked = rows.select("entity", "metric", "date", F.when(~is_rate, F.col("m")).alias("value"), F.when(is_rate, F.col("m")).alias("rate"))
+    return tidy(J.convert_stacked(stacked, 3.412, "entity"), 2, exact=["value", "rate"])
 
 
 @query(

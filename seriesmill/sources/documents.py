@@ -35,7 +35,17 @@ def read_series_json(spark: SparkSession, paths: list[str]) -> DataFrame:
         raise ValueError("files need different names, as their order goes by name")
     order = spark.createDataFrame(given, "file string, file_no int")
     docs = spark.read.schema(SERIES_SCHEMA).option("multiLine", True).json(list(paths)).withColumn("path", F.url_decode("_metadata.file_path"))
-    series = docs.withColumn("file", name).join(order, "file").select("file_no", F.posexplode("Results.series").alias("entry", "s"))
+    return _latest_series(docs.withColumn("file", name).join(order, "file"))
+
+
+def series_from_documents(df: DataFrame, body: str, order: str) -> DataFrame:
+    """The same for documents held as text, one per row; a document with a higher ``order`` replaces series of a lower one."""
+    parsed = F.from_json(body, SERIES_SCHEMA).alias("d")
+    return _latest_series(df.select(F.col(order).alias("file_no"), parsed).select("file_no", "d.*"))
+
+
+def _latest_series(docs: DataFrame) -> DataFrame:
+    series = docs.select("file_no", F.posexplode("Results.series").alias("entry", "s"))
     series = series.select(F.col("s.seriesID").alias("series_id"), "file_no", "entry", F.col("s.data").alias("data"))
     series = series.filter(F.size("data") > 0)
     latest = series.groupBy("series_id").agg(F.max_by("data", F.struct("file_no", "entry")).alias("data"))
@@ -48,7 +58,7 @@ def read_series_json(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 
 def decode_series_ids(series: DataFrame, industry: DataFrame, metric: DataFrame) -> DataFrame:
-    """Add entity and metric labels from the parts of the id; unknown codes keep their code."""
+    """Add entity and metric labels from the parts of the id; unknown codes are labelled as such."""
     from seriesmill.operators.joins import label_codes
 
     s = series.withColumn("industry_code", X.id_part(F.col("series_id"), 4, 3)).withColumn(

@@ -73,34 +73,33 @@ def price_panel(spark: SparkSession, sf_dir: str, grain: str = "week") -> DataFr
 
 
 def _orders_by_segment(spark: SparkSession, sf_dir: str, grain: str) -> DataFrame:
-    """(segment, date, priority, cents, n).
+    """(segment, date, priority, cents, n)."""
+    keys = ["segment", period(F.col("o_orderdate"), grain).alias("date"), F.col("o_orderpriority").alias("priority")]
+    return orders_with_segment(spark, sf_dir).groupBy(*keys).agg(F.sum("cents").alias("cents"), F.count(F.lit(1)).alias("n"))
 
-    Orders are combined per customer and period *before* the join, so a customer
-    that holds a large part of all orders reaches the join as a few rows.
+
+def orders_with_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(o_orderdate, o_orderpriority, cents, segment) per order.
+
+    Orders meet customers as they are: combining per customer first would hardly shrink them and cost a shuffle of its
+    own. A small customer table is broadcast, so orders stay where they are until they are summed per segment; beyond
+    the threshold both sides are shuffled once and adaptive execution splits a customer with too many orders.
     """
-    per_customer = (
-        table(spark, sf_dir, "orders")
-        .groupBy(
-            "o_custkey",
-            period(F.col("o_orderdate"), grain).alias("date"),
-            F.col("o_orderpriority").alias("priority"),
-        )
-        .agg(F.sum(cents(F.col("o_totalprice"))).alias("cents"), F.count(F.lit(1)).alias("n"))
-    )
-    cust = table(spark, sf_dir, "customer").select(
-        F.col("c_custkey").alias("o_custkey"), F.col("c_mktsegment").alias("segment")
-    )
-    return (
-        per_customer.join(cust, "o_custkey")
-        .groupBy("segment", "date", "priority")
-        .agg(F.sum("cents").alias("cents"), F.sum("n").alias("n"))
-    )
+    orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_orderpriority", cents(F.col("o_totalprice")).alias("cents"))
+    cust = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), F.col("c_mktsegment").alias("segment"))
+    return orders.join(cust, "o_custkey").drop("o_custkey")
+
+
+def segment_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(entity, metric, week, month, cents, n): one pass from which weekly and monthly sums both come; weeks are cut at month ends."""
+    keys = [F.col("segment").alias("entity"), F.col("o_orderpriority").alias("metric"), period(F.col("o_orderdate"), "week").alias("week"), period(F.col("o_orderdate"), "month").alias("month")]
+    return orders_with_segment(spark, sf_dir).groupBy(*keys).agg(F.sum("cents").alias("cents"), F.count(F.lit(1)).alias("n"))
 
 
 def segment_panels(spark: SparkSession, sf_dir: str, grain: str = "month") -> DataFrame:
     """The same panel once per market segment: (panel_id, date, y, x1..x5)."""
-    s = _orders_by_segment(spark, sf_dir, grain)
-    agg = s.groupBy("segment", "date").agg(*_sums(F.col("priority"), F.col("cents"), F.col("n")))
+    keys = ["segment", period(F.col("o_orderdate"), grain).alias("date")]
+    agg = orders_with_segment(spark, sf_dir).groupBy(*keys).agg(*_sums(F.col("o_orderpriority"), F.col("cents"), F.lit(1)))
     return agg.select(F.col("segment").alias("panel_id"), "date", *_means())
 
 

@@ -107,3 +107,24 @@ def test_results_do_not_depend_on_partitioning(spark, parts):
             assert sorted(map(str, entry.queries()[n](spark, SF).collect())) == want[n], n
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_orders_are_shuffled_once_at_most_for_segment_panels(spark):
+    def exchanges():
+        return plan(S.segment_panels(spark, SF)).count("Exchange hashpartitioning")
+
+    assert exchanges() == 1  # sums only: customers are broadcast
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        assert exchanges() == 3  # both sides of the join, then sums
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.mark.parametrize("name,table,scans", [("convert_units", "orders", 1), ("union_latest", "lineitem", 1), ("lasso_selected", "orders", 1)])
+def test_one_scan(spark, name, table, scans):
+    df = entry.queries()[name](spark, SF)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count(f"{table}.parquet") == scans
