@@ -37,11 +37,12 @@ def worker_cache(key: str, make):
 
 
 class ChunkMemo(dict):
-    """Results per chunk of text. ``learn`` computes the missing ones in sorted order and starts over when full."""
+    """Results per chunk of text. ``learn`` gets the missing ones, in sorted order and all at once from ``make_all``, and starts
+    over when it is full."""
 
-    def __init__(self, make, limit: int):
+    def __init__(self, make_all, limit: int):
         super().__init__()
-        self.make, self.limit, self.size = make, limit, 0
+        self.make_all, self.limit, self.size = make_all, limit, 0
 
     def learn(self, chunks: set[str]) -> None:
         missing = {c for c in chunks if c not in self}
@@ -51,8 +52,8 @@ class ChunkMemo(dict):
             self.size, missing = 0, chunks
             weight = sum(map(len, missing)) + 16 * len(missing)
         self.size += weight
-        for chunk in sorted(missing):
-            self[chunk] = self.make(chunk)
+        ordered = sorted(missing)
+        self.update(zip(ordered, self.make_all(ordered)))
 
 
 def rows_in(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:

@@ -32,7 +32,7 @@ class PrefixCounter:
         self.model = PieceModel(data)
         if not self.model.plain:
             raise ValueError("prefix counts need a normaliser that only marks spaces")
-        self.seen = ChunkMemo(self._chunk, MEMO)
+        self.seen = ChunkMemo(lambda chunks: map(self._chunk, chunks), MEMO)
 
     def _chunk(self, chunk: str) -> bytes:
         counts = self.model.walk(chunk)[0]
