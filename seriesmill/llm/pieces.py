@@ -279,15 +279,6 @@ class PieceModel:
         self._walked = chunk, counts, last
         return counts, last
 
-    def split(self, chunk: str) -> list[str]:
-        """Symbols of a chunk, read backwards from the last symbols of its prefixes."""
-        last = self.walk(chunk)[1]
-        out, end = [], len(chunk)
-        while end:
-            out.append(last[end])
-            end -= len(last[end])
-        return out[::-1]
-
     # --- decoding ------------------------------------------------------------------------------
 
     def decode(self, ids) -> str:

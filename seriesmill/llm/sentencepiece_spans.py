@@ -11,7 +11,6 @@ chunk; rows with equal or null ids stay separate rows; other columns are not car
 
 from __future__ import annotations
 
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,10 +19,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seriesmill.llm.common import BatchWriter, ChunkMemo, groups_of, rows_in, texts, worker_cache
-from seriesmill.llm.pieces import SPACE, PieceModel
+from seriesmill.llm.piece_batches import BatchMerger
+from seriesmill.llm.pieces import NORMAL, SPACE, PieceModel
 
-#: Characters of chunks (and 16 per chunk) that a worker remembers; about 120 MB with the results.
-MEMO = 8_000_000
+#: Characters of chunks (and 16 per chunk) that a worker remembers; about 180 MB with the results.
+MEMO = 20_000_000
 ENCODED = "doc_id bigint, ids array<int>, begins array<int>, ends array<int>"
 
 
@@ -31,24 +31,19 @@ class SpanEncoder:
     """Encodes whole texts; chunks seen before come from a bounded memo."""
 
     def __init__(self, data: bytes):
-        self.model = PieceModel(data)
-        self.seen = ChunkMemo(self._chunk, MEMO)
-
-    def _chunk(self, chunk: str) -> tuple[bytes, bytes, int, int]:
-        """Ids, piece ends in characters of the chunk, number of pieces, number of characters."""
-        ids, ends, at = array("i"), array("i"), 0
-        known = self.model.ids.get
-        for symbol in self.model.split(chunk):
-            at += len(symbol)
-            own = known(symbol)
-            if own is not None:
-                ids.append(own)
-            else:
-                own = self.model.symbol_ids(symbol)
-                ids.extend(own)
-                ends.extend([at - len(symbol)] * (len(own) - 1))
-            ends.append(at)
-        return ids.tobytes(), ends.tobytes(), len(ids), len(chunk)
+        self.model = model = PieceModel(data)
+        self.seen = ChunkMemo(BatchMerger(model).ids_of, MEMO)
+        # Characters of the normal form behind each id; byte pieces are looked at separately.
+        self.width = np.array([len(p) if t == NORMAL else 1 for p, t in zip(model.pieces, model.types)], "i4")
+        self.byte = np.array([model.byte_of[i][0] if i in model.byte_of else -1 for i in range(len(model.pieces))], "i2")
+
+    def ends(self, ids: np.ndarray) -> np.ndarray:
+        """Characters of the normal form up to and with each piece. Of the bytes of a character the last one ends it."""
+        width, byte = self.width[ids], self.byte[ids]
+        if (byte >= 0).any():
+            goes_on = np.append((byte[1:] >= 0x80) & (byte[1:] < 0xC0), False)
+            width = np.where((byte >= 0) & goes_on, 0, width)
+        return np.cumsum(width)
 
     def normal(self, text: str) -> str:
         model = self.model
@@ -78,15 +73,13 @@ class SpanEncoder:
             if not chunks:
                 yield (np.zeros(0, "<i4"),) * 3
                 continue
-            found = [self.seen[c] for c in chunks]
             begin_at, end_at = self.edges(text, normal)
-            ids = np.frombuffer(b"".join([f[0] for f in found]), "<i4")
-            counts = np.array([f[2] for f in found], "<i4")
-            sizes = np.array([f[3] for f in found], "<i4")
-            ends = np.frombuffer(b"".join([f[1] for f in found]), "<i4") + np.repeat(np.cumsum(sizes) - sizes, counts)
+            ids = np.frombuffer(b"".join(map(self.seen.__getitem__, chunks)), "<i4")
+            ends = self.ends(ids)
             # A piece starts where the one before it ends.
-            starts = np.concatenate([[0], ends[:-1]]).astype("<i4")
-            yield ids, begin_at[starts], np.maximum(end_at[ends], begin_at[starts])
+            starts = np.concatenate([[0], ends[:-1]])
+            begins = begin_at[starts]
+            yield ids, begins, np.maximum(end_at[ends], begins)
 
 
 def _encoder(data: bytes) -> SpanEncoder:
