@@ -327,6 +327,19 @@ def stream_crossings(spark, sf):
     return _ntz(E.run_to_table(R.stream_crossings(_tick_stream(spark, sf), rules(spark)), "crossings"), "bucket")
 
 
+_ENTRIES = (
+    f"{_ZONED.format(src='ticks')}, e AS (SELECT asset, time_bucket(INTERVAL 15 MINUTE, ts) AS bucket, alert FROM "
+    f"(SELECT *, lag(alert) OVER (PARTITION BY asset ORDER BY ts, event_id) AS prev FROM z) WHERE {_ENTER})"
+)
+
+
+@query("stream_entries", f"{_T}, {_RULES}, {_ENTRIES} SELECT DISTINCT asset, bucket, alert FROM e WHERE bucket + INTERVAL 15 MINUTE <= (SELECT max(ts) FROM ticks) - INTERVAL 10 MINUTE")
+def stream_entries(spark, sf):
+    """Edge alerts on ticks: every interval and zone into which some tick of the interval crosses."""
+    out = E.run_to_table(R.stream_entries(_tick_stream(spark, sf), rules(spark)), "entries")
+    return _ntz(out.select("asset", "bucket", "alert"), "bucket")
+
+
 @query(
     "stream_snapshot",
     f"{_T} SELECT asset, max(ts) AS ts, arg_max(event_id, struct_pack(ts := ts, id := event_id)) AS event_id, "

@@ -48,8 +48,9 @@ def clear_shared(spark: SparkSession, path: str) -> None:
     """Remove a stored intermediate table or stream folder, once nothing reads it any more. Only below the shared folder."""
     if not path.startswith(shared_folder(spark).rstrip("/") + "/"):
         raise ValueError("not below the shared folder")
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    from seriesmill.sources.publish import remove
+
+    remove(spark, path)
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:

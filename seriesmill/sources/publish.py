@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from urllib.parse import quote
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seriesmill.operators.aggregates import to_array
@@ -30,14 +30,19 @@ def write_series(df: DataFrame, path: str, by: str = "metric") -> None:
     df.write.mode("overwrite").partitionBy(by).parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder of a table, wherever Spark keeps it; a missing one is fine."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def publish(df: DataFrame, path: str, section: str) -> None:
     """Replace one section of a table and leave the others as they are; repeating it changes nothing.
 
     An empty result writes no file, so its old section is removed explicitly: it must not stay in place.
     """
     if df.isEmpty():
-        folder = df.sparkSession._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/section={quote(section, safe=' ')}")
-        folder.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(folder, True)
+        remove(df.sparkSession, f"{path.rstrip('/')}/section={quote(section, safe=' ')}")
         return
     (
         df.withColumn("section", F.lit(section))

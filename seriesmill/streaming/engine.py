@@ -42,11 +42,12 @@ def use_rocksdb(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
 
 
-def run_to_table(out: DataFrame, label: str, path: str | None = None, checkpoint: str | None = None) -> DataFrame:
+def run_to_table(out: DataFrame, label: str, path: str | None = None, checkpoint: str | None = None, counts: dict | None = None) -> DataFrame:
     """Process everything available, append to a table in the shared folder and return that table.
 
     The sink is transactional: a restarted run continues from its checkpoint
-    without repeating or losing rows.
+    without repeating or losing rows. ``counts`` gets the number of rows that came
+    too late for the watermark, under ``late``.
     """
     spark = out.sparkSession
     path = path or fresh_path(spark, label)
@@ -59,4 +60,6 @@ def run_to_table(out: DataFrame, label: str, path: str | None = None, checkpoint
         .start()
     )
     query.awaitTermination()
+    if counts is not None:
+        counts["late"] = sum(op.numRowsDroppedByWatermark for p in query.recentProgress for op in p.stateOperators)
     return spark.read.schema(out.schema).parquet(path)

@@ -112,6 +112,70 @@ def test_innovations(spark, events, tmp_path, files):
     np.testing.assert_allclose(got.innov, want.innov, atol=1e-9)
 
 
+def _entered(events, every="15min"):
+    """(asset, interval, zone) of every tick that crosses into an outer zone."""
+    bands = {a: (lo, hi) for a, lo, hi in RULES}
+    out = {}
+    for asset, g in events.sort_values(["ts", "event_id"]).groupby("event_type"):
+        before = "in"
+        for ts, price in zip(g.ts, g.value):
+            lo, hi = bands[asset]
+            now = "above" if price > hi else "below" if price < lo else "in"
+            if now not in ("in", before):
+                out.setdefault((asset, ts.floor(every), now), price)
+            before = now
+    return out
+
+
+@pytest.mark.parametrize("files", [1, 3, 6])
+def test_no_crossing_inside_an_interval_is_lost(spark, events, rules, tmp_path, files):
+    ev = events.copy()  # about eight ticks per interval
+    ev["ts"] = (pd.Timestamp("2024-01-01") + (ev["ts"] - pd.Timestamp("2024-01-01")) / 15).astype("datetime64[us]")
+    src = _land(ev, str(tmp_path / "in"), files)
+    counts = {}
+    out = E.run_to_table(R.stream_entries(E.tick_stream(spark, src, 1), rules), "n", str(tmp_path / "o"), str(tmp_path / "cp"), counts)
+    last = ev.ts.max() - pd.Timedelta(R.DELAY)
+    want = {k for k in _entered(ev) if k[1] + pd.Timedelta("15min") <= last}
+    rows = out.collect()
+    assert {(r.asset, pd.Timestamp(r.bucket), r.alert) for r in rows} == want and len(rows) == len(want) > 50
+    assert counts["late"] == 0
+    prices = dict(zip(ev.event_id, ev.value))
+    assert all(prices[r.event_id] == r.price for r in rows)
+
+
+def test_entries_of_one_interval():
+    t = {f"{z}_{n}": None for z in R.ZONES for n in ("first", "last")}
+    spike = t | {"in_first": (1, 1, 9.0), "in_last": (3, 3, 9.0), "above_first": (2, 2, 99.0), "above_last": (2, 2, 99.0)}
+    assert R.entries(spike, "in") == ([("above", (2, 2, 99.0))], "in")
+    stays = t | {"above_first": (1, 1, 99.0), "above_last": (3, 3, 98.0)}
+    assert R.entries(stays, "above") == ([], "above") and R.entries(stays, "below") == ([("above", (1, 1, 99.0))], "above")
+    back = stays | {"in_first": (2, 2, 9.0), "in_last": (2, 2, 9.0)}
+    assert R.entries(back, "above") == ([("above", (3, 3, 98.0))], "above")
+
+
+def test_late_rows_are_counted(spark, events, rules, tmp_path):
+    src = _land(events, str(tmp_path / "in"), 4)
+    _land(events.head(1).assign(event_id=9999), str(tmp_path / "late"), 1)
+    os.replace(f"{tmp_path}/late/part-000.parquet", f"{src}/part-999.parquet")
+    os.utime(f"{src}/part-999.parquet", (1_900_000_000, 1_900_000_000))
+    counts = {}
+    E.run_to_table(R.latest_per_bucket(E.tick_stream(spark, src, 1)), "b", str(tmp_path / "o"), str(tmp_path / "cp"), counts)
+    assert counts["late"] == 1
+
+
+def test_snapshot_does_not_grow_with_triggers(spark, events, tmp_path):
+    src = _land(events, str(tmp_path / "in"), 6)
+    path = str(tmp_path / "snap")
+    rows = R.stream_snapshot(E.tick_stream(spark, src, 1), path, str(tmp_path / "c")).collect()
+    assert len(rows) == 2 and R.snapshot_versions(spark, path) == [4, 5]
+    assert spark.read.parquet(f"{path}/version=5").count() == 2
+
+
+def test_folder_with_a_trailing_slash(spark, events, tmp_path):
+    src = _land(events, str(tmp_path / "in"), 2)
+    assert E.stream_table(spark, src + "/").isStreaming
+
+
 def test_snapshot_replay_changes_nothing(spark, events, tmp_path):
     src = _land(events, str(tmp_path / "in"), 3)
     path = str(tmp_path / "snap")
