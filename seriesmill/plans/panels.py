@@ -419,3 +419,17 @@ def tvp_mle(spark, sf):
 def beta_delta(spark, sf):
     r = segment_returns(spark, sf)
     return tidy(G.model_compare(r, K.tvp_smooth(r, "y", X, Q_STATE, H_OBS, KEY), "y", X))
+
+
+@query(
+    "latest_betas",
+    f"{_KF}, {Q.ols()}, lt AS (SELECT * FROM kd QUALIFY row_number() OVER (PARTITION BY panel_id ORDER BY date DESC) = 1), d AS ("
+    + " UNION ALL ".join(f"SELECT panel_id, '{x}' AS term, lt.b[{i}] AS tvp_beta, fit.b[{i + 1}] AS ols_beta FROM lt JOIN fit USING (panel_id)" for i, x in enumerate(X, 1))
+    + f") SELECT panel_id, term, {Q.rnds('tvp_beta ols_beta', 4)}, {Q.rnd('tvp_beta - ols_beta', 'delta', 4)} FROM d",
+)
+def latest_betas(spark, sf):
+    """The latest smoothed beta of each factor, which is the last filtered one, against the static one."""
+    r = segment_returns(spark, sf)
+    latest = K.tvp_smooth(r, "y", X, Q_STATE, H_OBS, KEY).groupBy("panel_id", "term").agg(F.max_by("beta", "date").alias("coef"))
+    d = J.compare_betas(latest, R.ols(r, "y", X).filter("term <> 'intercept'"))
+    return tidy(d.withColumnsRenamed({"coef_a": "tvp_beta", "coef_b": "ols_beta"}), 4)

@@ -598,19 +598,34 @@ def lag_state(spark, sf):
 _Q1, _H1 = "0.0005::DOUBLE", "400::DOUBLE"
 
 
-@query(
-    "tvp_smooth_1f",
+_SMOOTH1 = (
     f"{_SR}, o AS (SELECT series_id, row_number() OVER (PARTITION BY series_id ORDER BY date) AS t, date, ret AS y, xret AS x FROM srets), "
     "n AS (SELECT series_id, max(t) AS n FROM o GROUP BY 1), "
     f"fw AS (SELECT series_id, t, 1e-6 + x * x / {_H1} AS w, x * y / {_H1} AS v FROM o WHERE t = 1 UNION ALL "
     f"SELECT o.series_id, o.t, fw.w / (1 + {_Q1} * fw.w) + o.x * o.x / {_H1}, fw.v / (1 + {_Q1} * fw.w) + o.x * o.y / {_H1} FROM fw JOIN o ON o.series_id = fw.series_id AND o.t = fw.t + 1), "
     "bw AS (SELECT series_id, n AS t, 0e0 AS w, 0e0 AS v FROM n UNION ALL "
     f"SELECT o.series_id, o.t - 1, (bw.w + o.x * o.x / {_H1}) / (1 + {_Q1} * (bw.w + o.x * o.x / {_H1})), (bw.v + o.x * o.y / {_H1}) / (1 + {_Q1} * (bw.w + o.x * o.x / {_H1})) "
-    "FROM bw JOIN o ON o.series_id = bw.series_id AND o.t = bw.t WHERE o.t > 1) "
-    f"SELECT o.series_id, o.date, {Q.rnd('(fw.v + bw.v) / (fw.w + bw.w)', 'beta')}, {Q.rnd('sqrt(1 / (fw.w + bw.w))', 'se')}, "
-    f"{Q.rnd('(fw.v + bw.v) / (fw.w + bw.w) - 1.96 * sqrt(1 / (fw.w + bw.w))', 'lo')} "
-    "FROM o JOIN fw ON fw.series_id = o.series_id AND fw.t = o.t JOIN bw ON bw.series_id = o.series_id AND bw.t = o.t",
+    "FROM bw JOIN o ON o.series_id = bw.series_id AND o.t = bw.t WHERE o.t > 1), "
+    "sm AS (SELECT o.series_id, o.date, o.y, o.x, (fw.v + bw.v) / (fw.w + bw.w) AS beta, sqrt(1 / (fw.w + bw.w)) AS se "
+    "FROM o JOIN fw ON fw.series_id = o.series_id AND fw.t = o.t JOIN bw ON bw.series_id = o.series_id AND bw.t = o.t)"
 )
+
+
+@query("tvp_smooth_1f", f"{_SMOOTH1} SELECT series_id, date, {Q.rnds('beta se')}, {Q.rnd('beta - 1.96 * se', 'lo')}, {Q.rnd('beta + 1.96 * se', 'hi')} FROM sm")
 def tvp_smooth_1f(spark, sf):
     s = K.tvp_smooth(supplier_returns(spark, sf), "ret", ["xret"], 0.0005, 400.0)
-    return tidy(s.select("series_id", "date", "beta", "se", "lo"))
+    return tidy(s.select("series_id", "date", "beta", "se", "lo", "hi"))
+
+
+@query(
+    "r2_gain_1f",
+    f"{_SMOOTH1}, r AS (SELECT series_id, count(*) AS n, 1 - sum((y - beta * x) * (y - beta * x)) / (var_pop(y) * count(*)) AS tvp_r2, regr_r2(y, x) AS ols_r2 FROM sm GROUP BY 1) "
+    f"SELECT series_id, {Q.rnds('tvp_r2 ols_r2', 5)}, {Q.rnd('(tvp_r2 - ols_r2) * 100', 'gain_pp', 3)} FROM r",
+)
+def r2_gain_1f(spark, sf):
+    """R2 of the smoothed one-factor model against the static one, in percentage points."""
+    r = supplier_returns(spark, sf)
+    s = K.tvp_smooth(r, "ret", ["xret"], 0.0005, 400.0).withColumn("_e", F.col("y") - F.col("fitted"))
+    tvp = A.r_squared(s, "y", "_e", ["series_id"]).withColumnRenamed("r2", "tvp_r2")
+    j = tvp.join(A.simple_ols(r, "ret", "xret", ["series_id"]).select("series_id", F.col("r2").alias("ols_r2")), "series_id")
+    return tidy(j.select("series_id", F.round("tvp_r2", 5).alias("tvp_r2"), F.round("ols_r2", 5).alias("ols_r2"), F.round((F.col("tvp_r2") - F.col("ols_r2")) * 100, 3).alias("gain_pp")))
