@@ -118,17 +118,17 @@ def solve(n: pd.Series, means: pd.Series, upper: pd.Series) -> pd.DataFrame:
         return pd.DataFrame(columns=["coef", "se", "t", "p", "r2", "adj_r2", "f", "f_p", "rank"])
     m = _stack(means)
     r = _fit(n.to_numpy(float), m, full_matrix(_stack(upper), m.shape[1]))
-    p = [[t_two_sided(t, d) for t in ts] for ts, d in zip(r["t"], r["dof"])]
+    p = t_two_sided(r["t"], r["dof"][:, None])
     return pd.DataFrame(
         {
             "coef": list(map(_nulls, r["coef"])),
             "se": list(map(_nulls, r["se"])),
             "t": list(map(_nulls, r["t"])),
-            "p": [_nulls(np.array(x)) for x in p],
+            "p": list(map(_nulls, p)),
             "r2": _nulls(r["r2"]),
             "adj_r2": _nulls(r["adj_r2"]),
             "f": _nulls(r["f"]),
-            "f_p": _nulls(np.array([f_upper(f, k, d) for f, k, d in zip(r["f"], r["rank"], r["dof"])])),
+            "f_p": _nulls(f_upper(r["f"], r["rank"], r["dof"])),
             "rank": r["rank"].astype("int32"),
         }
     )
@@ -153,6 +153,12 @@ def ols_fit(df: DataFrame, y: str, xs: Sequence[str], keys: Sequence[str] = KEYS
     return gram(df, [y, *xs], keys).filter("n > 1").select(*keys, "n", solve(F.col("n"), means, upper).alias("fit"))
 
 
+def ols_betas(df: DataFrame, y: str, xs: Sequence[str], keys: Sequence[str] = KEYS) -> DataFrame:
+    """(keys, n, fit) with coefficients and R2 only, for residuals."""
+    means, upper = packed([y, *xs])
+    return gram(df, [y, *xs], keys).filter("n > 1").select(*keys, "n", solve_betas(F.col("n"), means, upper).alias("fit"))
+
+
 def ols(df: DataFrame, y: str, xs: Sequence[str], keys: Sequence[str] = KEYS) -> DataFrame:
     """Coefficient table: (keys, term, coef, se, t, p)."""
     terms = F.array(*[F.lit(t) for t in ("intercept", *xs)])

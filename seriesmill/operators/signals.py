@@ -11,7 +11,7 @@ from seriesmill.functions import windows as W
 from seriesmill.functions.scalars import verdict
 from seriesmill.operators.aggregates import r_squared
 from seriesmill.operators.joins import compare_betas
-from seriesmill.operators.regression import ols, ols_apply, ols_fit
+from seriesmill.operators.regression import ols, ols_apply, ols_betas, ols_fit
 
 KEYS = ("panel_id",)
 
@@ -49,7 +49,7 @@ def signal_last(path: DataFrame, value: str = "resid", keys: Sequence[str] = KEY
 
 
 def static_residuals(panel: DataFrame, y: str, xs: Sequence[str], keys: Sequence[str] = KEYS) -> DataFrame:
-    return ols_apply(panel, ols_fit(panel, y, xs, keys), y, xs, keys)
+    return ols_apply(panel, ols_betas(panel, y, xs, keys), y, xs, keys)
 
 
 def rich_cheap(panel: DataFrame, y: str, xs: Sequence[str], n: int = 52, n_cum: int = 104, keys: Sequence[str] = KEYS) -> DataFrame:
