@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import sys
 from collections.abc import Iterator
 
@@ -56,6 +58,28 @@ class ChunkMemo(dict):
         self.update(zip(ordered, self.make_all(ordered)))
 
 
+def give_back() -> None:
+    """Return freed memory to the system: workers are reused, and what one task leaves would add to the next one's need."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # other C libraries have no such call
+        pass
+
+
+def tidy_task(run):
+    """Wraps the function of a task over batches: whatever happens, its memory is given back at the end."""
+
+    @functools.wraps(run)
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return wrapped
+
+
 def rows_in(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     """(doc_id, text) one by one; a batch is never turned into Python objects as a whole."""
     for batch in batches:

@@ -21,19 +21,19 @@ import itertools
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
-from seriesmill.llm.common import rows_in, texts
+from seriesmill.llm.common import rows_in, texts, tidy_task
 
 UNKNOWN = "und"
 BUCKETS = 1 << 15
 ORDERS = (1, 2, 3, 4)
 #: A runner-up with so little more loss than the winner makes a prediction ambiguous.
-AMBIGUOUS = 0.05
+AMBIGUOUS = 0.02
 LETTER = regex.compile(r"\p{L}")
 
 
@@ -108,7 +108,7 @@ def gram_counts(labelled: DataFrame) -> DataFrame:
         if totals:
             yield pa.RecordBatch.from_arrays([pa.array(list(totals)), pa.array([v.tobytes() for v in totals.values()], pa.binary())], schema=schema)
 
-    return labelled.select("lang", "text").mapInArrow(run, "lang string, counts binary")
+    return labelled.select("lang", "text").mapInArrow(tidy_task(run), "lang string, counts binary")
 
 
 def train(labelled: DataFrame) -> CodeModel:
@@ -138,23 +138,28 @@ def fit_counts(languages: list[str], counts: list[np.ndarray]) -> CodeModel:
     return CodeModel(languages, words, weights, np.maximum(trust, 1e-9))
 
 
-def predictor(spark: SparkSession, model: CodeModel):
-    """A vectorised function from a text column to (lang_pred, score, margin, ambiguous). The model is a few megabytes per
-    ten languages, whatever the number of documents."""
-    shared = spark.sparkContext.broadcast(model)
+def with_language(docs: DataFrame, model: CodeModel, text_col: str = "text", out_col: str = "language") -> DataFrame:
+    """``docs`` with a column (lang_pred, score, margin, ambiguous) more, row by row; all other columns pass through.
 
-    @F.pandas_udf("lang_pred string, score double, margin double, ambiguous boolean")
-    def language(text: pd.Series) -> pd.DataFrame:
-        rows = [shared.value.predict(t) for t in text]
-        return pd.DataFrame(rows, columns=["lang_pred", "score", "margin", "ambiguous"])
+    The model travels with the tasks: a few megabytes per ten languages, whatever the number of documents.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    kinds = [("lang_pred", pa.string()), ("score", pa.float64()), ("margin", pa.float64()), ("ambiguous", pa.bool_())]
+    schema = StructType([*docs.schema.fields, StructField(out_col, StructType.fromDDL("lang_pred string, score double, margin double, ambiguous boolean"))])
 
-    return language
+    def run(batches):
+        own = shared.value
+        for batch in batches:
+            found = [own.predict(t.as_py()) for t in batch.column(text_col)]
+            columns = [pa.array([f[k] for f in found], type=kind) for k, (_, kind) in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.StructArray.from_arrays(columns, [n for n, _ in kinds])], [*batch.schema.names, out_col])
+
+    return docs.mapInArrow(tidy_task(run), schema)
 
 
 def predict(docs: DataFrame, model: CodeModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, lang_pred, score, margin, ambiguous), a row per document."""
-    own = texts(docs, id_col, text_col)
-    return own.select("doc_id", predictor(docs.sparkSession, model)("text").alias("p")).select("doc_id", "p.*")
+    return with_language(texts(docs, id_col, text_col), model).select("doc_id", "language.*")
 
 
 def held_out(id_col: str = "doc_id"):

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from seriesmill.llm.common import BatchWriter, groups_of, rows_in, stored, texts, worker_cache
+from seriesmill.llm.common import BatchWriter, groups_of, rows_in, stored, texts, tidy_task, worker_cache
 
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, part bigint, nth bigint, ids array<int>"
 #: The split pattern of byte-level BPE files of this format (fixed value).
@@ -93,7 +93,7 @@ def cut_pieces(docs: DataFrame, vocabulary_file: str, window: int = 1024, end_id
         if out.size:
             yield out.take()
 
-    return texts(docs, id_col, text_col).mapInArrow(run, PIECES)
+    return texts(docs, id_col, text_col).mapInArrow(tidy_task(run), PIECES)
 
 
 # --- the plan on counts ------------------------------------------------------------------------

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seriesmill.llm.common import BatchWriter, ChunkMemo, groups_of, rows_in, texts, worker_cache
+from seriesmill.llm.common import BatchWriter, ChunkMemo, groups_of, rows_in, texts, tidy_task, worker_cache
 from seriesmill.llm.piece_batches import BatchMerger
 from seriesmill.llm.pieces import NORMAL, SPACE, PieceModel
 
@@ -111,7 +111,7 @@ def encode_decode(docs: DataFrame, model_file: str, add_end: bool = True, decode
         if out.size:
             yield out.take()
 
-    return texts(docs, id_col, text_col).mapInArrow(run, ENCODED + ", decoded string" * decoded)
+    return texts(docs, id_col, text_col).mapInArrow(tidy_task(run), ENCODED + ", decoded string" * decoded)
 
 
 def decode_ids(model: PieceModel, ids: np.ndarray) -> str:
@@ -149,4 +149,4 @@ def decode(encoded: DataFrame, model_file: str, ids_col: str = "ids", id_col: st
         if out.size:
             yield out.take()
 
-    return encoded.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(ids_col).cast("array<int>")).mapInArrow(run, "doc_id bigint, text string")
+    return encoded.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(ids_col).cast("array<int>")).mapInArrow(tidy_task(run), "doc_id bigint, text string")

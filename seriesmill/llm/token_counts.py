@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seriesmill.llm.common import BatchWriter, ChunkMemo, groups_of, rows_in, texts, worker_cache
+from seriesmill.llm.common import BatchWriter, ChunkMemo, groups_of, rows_in, texts, tidy_task, worker_cache
 from seriesmill.llm.pieces import SPACE, PieceModel
 
 #: Characters of chunks (and 16 per chunk) that a worker remembers; about 180 MB with the results.
@@ -77,7 +77,7 @@ def prefix_table(docs: DataFrame, model_file: str, budget: int, keep_steps: bool
         if out.size:
             yield out.take()
 
-    return texts(docs, id_col, text_col).mapInArrow(run, TABLE)
+    return texts(docs, id_col, text_col).mapInArrow(tidy_task(run), TABLE)
 
 
 def tokens_before(table: DataFrame, chars_col: str, out_col: str = "tokens") -> DataFrame:
