@@ -28,7 +28,7 @@ def _measured(docs: DataFrame) -> DataFrame:
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told; a missing ``lang`` is filled in. No letter, or ambiguous: out."""
     model = language_id.train(docs.where(~language_id.held_out()))
-    marked = docs.withColumn("__p", language_id.predictor(spark, model)("text"))
+    marked = language_id.with_language(docs, model, out_col="__p")
     kept = marked.where((F.col("__p.lang_pred") != language_id.UNKNOWN) & ~F.col("__p.ambiguous"))
     return kept.withColumn("lang", F.coalesce("lang", "__p.lang_pred")).select(*docs.columns)
 
