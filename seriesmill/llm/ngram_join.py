@@ -37,15 +37,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from seriesmill.llm.common import BatchWriter, rows_in, stored, texts, worker_cache
+from seriesmill.llm.common import BatchWriter, give_back, rows_in, stored, texts, tidy_task, worker_cache
 from seriesmill.llm.components import components
 
 WORDS = 5
 #: Required similarity as a fraction.
 NUMERATOR, DENOMINATOR = 80, 100
 SHORT = 64
-FLUSH_VALUES = 3_000_000
-CELL_VALUES = 6_000_000
+FLUSH_VALUES = 1_500_000
+CELL_VALUES = 3_000_000
+#: At least 2**6 cells, so that small inputs spread over cores too.
+LEAST_BITS = 6
 BLOCK = 256
 GOLDEN, MIX_A, MIX_B = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
@@ -55,7 +57,7 @@ GOLDEN, MIX_A, MIX_B = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE
 
 class WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 400_000:
+        if len(self) > 250_000:
             self.clear()
         self[word] = value = xxhash.xxh3_64_intdigest(word)
         return value
@@ -101,7 +103,7 @@ def document_sets(docs: DataFrame, words: int = WORDS, id_col: str = "doc_id", t
             yield out.take()
 
     own = texts(docs, id_col, text_col).withColumn("text_key", F.xxhash64("text"))
-    return own.mapInArrow(run, "doc_id bigint, text_key bigint, key binary, n bigint")
+    return own.mapInArrow(tidy_task(run), "doc_id bigint, text_key bigint, key binary, n bigint")
 
 
 # --- cells: which shingles are shared, by how many sets ------------------------------------------
@@ -112,9 +114,9 @@ def _squeeze(values: np.ndarray) -> bytes:
     return np.ascontiguousarray(values.astype("<u8").view("<u2").reshape(-1, 4)[:, :3]).tobytes()
 
 
-def _unsqueeze(data: bytes, cell: int, bits: int) -> np.ndarray:
+def _unsqueeze(data: np.ndarray, cell: int, bits: int) -> np.ndarray:
     out = np.zeros((len(data) // 6, 4), "<u2")
-    out[:, :3] = np.frombuffer(data, "<u2").reshape(-1, 3)
+    out[:, :3] = data.view("<u2").reshape(-1, 3)
     return out.view("<u8").ravel() | np.uint64(cell << (64 - bits))
 
 
@@ -186,7 +188,7 @@ def cell_rows(docs: DataFrame, bits: int, words: int = WORDS) -> DataFrame:
         if held:
             yield from flush(held, number + 1)
 
-    return docs.select(F.lit(0).cast("bigint"), "text").mapInArrow(run, CELL)
+    return docs.select(F.lit(0).cast("bigint"), "text").mapInArrow(tidy_task(run), CELL)
 
 
 def _among(values: np.ndarray, some: np.ndarray) -> np.ndarray:
@@ -196,41 +198,54 @@ def _among(values: np.ndarray, some: np.ndarray) -> np.ndarray:
     return some[np.minimum(np.searchsorted(some, values), len(some) - 1)] == values
 
 
-def shared_in_cell(cell: int, rows: pd.DataFrame, bits: int) -> pd.DataFrame:
+def _bytes_of(column: pa.ChunkedArray) -> np.ndarray:
+    """All bytes of a binary column, one value after the other, without making Python objects."""
+    parts = []
+    for chunk in column.chunks:
+        _, offsets, data = chunk.buffers()
+        ends = np.frombuffer(offsets, "<i4")[chunk.offset : chunk.offset + len(chunk) + 1]
+        if data is not None and len(chunk):
+            parts.append(np.frombuffer(data, "u1")[ends[0] : ends[-1]])
+    return np.concatenate(parts) if len(parts) > 1 else parts[0] if parts else np.zeros(0, "u1")
+
+
+def _binary(data: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """A binary column whose values are cut from ``data`` at the byte positions ``ends`` (the first is 0)."""
+    return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(ends.astype("<i4")), pa.py_buffer(np.ascontiguousarray(data))])
+
+
+SHARED = pa.schema([("key", pa.binary()), ("n", pa.int64()), ("vals", pa.binary()), ("dfs", pa.binary())])
+
+
+def shared_in_cell(cell: int, rows: pa.Table, bits: int) -> pa.Table:
     """(key, n, vals, dfs) for each set with shared shingles in the cell; df 0 marks a shingle of a long list."""
-    keys = np.frombuffer(b"".join(rows["sets"]), "V16")
-    sizes = np.frombuffer(b"".join(rows["sizes"]), "<i8")
-    counts = np.frombuffer(b"".join(rows["counts"]), "<i4")
-    data = b"".join(rows["vals"])
+    keys, sizes, counts = (_bytes_of(rows.column(c)).view(t) for c, t in (("sets", "V16"), ("sizes", "<i8"), ("counts", "<i4")))
+    data = _bytes_of(rows.column("vals"))
     owner = np.repeat(np.arange(len(keys), dtype="i4"), counts)
     if cell < 0:  # marked in their task already
-        values, df = np.frombuffer(data, "<u8"), np.zeros(len(owner), "<u2")
+        values, df = data.view("<u8"), np.zeros(len(owner), "<u2")
     else:
         values = _unsqueeze(data, cell, bits)
-        hot = np.unique(_unsqueeze(b"".join(rows["hot"]), cell, bits))
+        hot = np.unique(_unsqueeze(_bytes_of(rows.column("hot")), cell, bits))
         kept = np.zeros(len(keys), bool)
         kept[np.unique(keys, return_index=True)[1]] = True  # a set that came with several flushes counts once
         use = kept[owner]
         values, owner = values[use], owner[use]
         order = np.argsort(values, kind="stable")
         values, owner = values[order], owner[order]
+        del order, use, data
         _, lengths = _runs(values)
-        times = np.repeat(lengths, lengths)
+        times = np.repeat(np.minimum(lengths, SHORT + 1).astype("<u2"), lengths)
         times[_among(values, hot)] = SHORT + 1
         use = times > 1
         values, owner, times = values[use], owner[use], times[use]
         df = np.where(times > SHORT, 0, times).astype("<u2")
         order = np.argsort(owner, kind="stable")
         values, owner, df = values[order], owner[order], df[order]
-    starts, lengths = _runs(owner)
+    starts, _ = _runs(owner)
     own = owner[starts]
-    spans = list(zip(starts.tolist(), (starts + lengths).tolist()))
-    return pd.DataFrame({
-        "key": [keys[o].tobytes() for o in own],
-        "n": sizes[own] if len(own) else np.zeros(0, "i8"),
-        "vals": [values[a:b].tobytes() for a, b in spans],
-        "dfs": [df[a:b].tobytes() for a, b in spans],
-    })
+    ends = np.append(starts, len(owner))
+    return pa.table([_binary(keys[own], 16 * np.arange(len(own) + 1)), pa.array(sizes[own]), _binary(values, 8 * ends), _binary(df, 2 * ends)], schema=SHARED)
 
 
 def least_overlap(a: int, b: int) -> int:
@@ -268,7 +283,7 @@ def survivors(cells: DataFrame) -> DataFrame:
         if out.size:
             yield out.take()
 
-    return parts.mapInArrow(run, "key binary, n bigint, shared binary, short array<bigint>, long array<bigint>")
+    return parts.mapInArrow(tidy_task(run), "key binary, n bigint, shared binary, short array<bigint>, long array<bigint>")
 
 
 # --- candidates ----------------------------------------------------------------------------------
@@ -316,7 +331,7 @@ def short_candidates(alive: DataFrame) -> DataFrame:
         if out.size:
             yield out.take()
 
-    return counted.mapInArrow(run, "x binary, y binary")
+    return counted.mapInArrow(tidy_task(run), "x binary, y binary")
 
 
 def families(alive: DataFrame) -> DataFrame:
@@ -351,7 +366,7 @@ def verified(pairs: DataFrame, alive: DataFrame) -> DataFrame:
         if out.size:
             yield out.take()
 
-    return full.select("x", "y", "nx", "ny", "sx", "sy").mapInArrow(run, "a binary, b binary")
+    return full.select("x", "y", "nx", "ny", "sx", "sy").mapInArrow(tidy_task(run), "a binary, b binary")
 
 
 class DivideSkip:
@@ -439,12 +454,15 @@ def open_links(family: DataFrame, roots: DataFrame, alive: DataFrame) -> DataFra
 def link_sets(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """(node, root): components of linked sets with more than one set, over stored intermediate tables."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bits = min(16, max(1, (size // 6 // CELL_VALUES).bit_length()))
+    bits = min(16, max(LEAST_BITS, (size // 6 // CELL_VALUES).bit_length()))
 
-    def in_cell(rows: pd.DataFrame) -> pd.DataFrame:
-        return shared_in_cell(int(rows["cell"].iloc[0]), rows, bits)
+    def in_cell(rows: pa.Table) -> pa.Table:
+        try:
+            return shared_in_cell(rows.column("cell")[0].as_py(), rows, bits)
+        finally:
+            give_back()
 
-    cells = cell_rows(docs, bits, words).groupBy("cell").applyInPandas(in_cell, "key binary, n bigint, vals binary, dfs binary")
+    cells = cell_rows(docs, bits, words).groupBy("cell").applyInArrow(in_cell, "key binary, n bigint, vals binary, dfs binary")
     alive = stored(survivors(cells), "sets")
     family = stored(families(alive), "families")
     stars = family.where("key <> hub").select(F.col("hub").alias("x"), F.col("key").alias("y"))
