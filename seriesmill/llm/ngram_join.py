@@ -46,8 +46,8 @@ NUMERATOR, DENOMINATOR = 80, 100
 SHORT = 64
 FLUSH_VALUES = 1_500_000
 CELL_VALUES = 3_000_000
-#: At least 2**6 cells, so that small inputs spread over cores too.
-LEAST_BITS = 6
+#: At least 2**6 cells, so that small inputs spread over cores too; at most 2**26, enough for 200 TB of text.
+LEAST_BITS, MOST_BITS = 6, 26
 BLOCK = 256
 GOLDEN, MIX_A, MIX_B = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
@@ -161,7 +161,7 @@ def cell_rows(docs: DataFrame, bits: int, words: int = WORDS) -> DataFrame:
             is_hot = _among(values, hot)
             add(-number, values[is_hot].tobytes(), owner[is_hot], b"")
             values, owner = values[~is_hot], owner[~is_hot]
-        cells, hot_cells = ((v >> np.uint64(64 - bits)).astype("u2") for v in (values, hot))
+        cells, hot_cells = ((v >> np.uint64(64 - bits)).astype("u2" if bits <= 16 else "u4") for v in (values, hot))
         order = np.argsort(cells, kind="stable")  # set after set within a cell
         values, owner, cells = values[order], owner[order], cells[order]
         for cell in np.union1d(cells, hot_cells).tolist():
@@ -454,7 +454,7 @@ def open_links(family: DataFrame, roots: DataFrame, alive: DataFrame) -> DataFra
 def link_sets(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """(node, root): components of linked sets with more than one set, over stored intermediate tables."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bits = min(16, max(LEAST_BITS, (size // 6 // CELL_VALUES).bit_length()))
+    bits = min(MOST_BITS, max(LEAST_BITS, (size // 6 // CELL_VALUES).bit_length()))
 
     def in_cell(rows: pa.Table) -> pa.Table:
         try:

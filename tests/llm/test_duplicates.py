@@ -33,7 +33,7 @@ def near_copies(seed=3, groups=12, most=14):
     return list(enumerate(rows, 100))
 
 
-@pytest.mark.parametrize("limits", [None, dict(SHORT=2, BLOCK=3, FLUSH_VALUES=300, CELL_VALUES=200), dict(SHORT=4, BLOCK=2, FLUSH_VALUES=10**6)])
+@pytest.mark.parametrize("limits", [None, dict(SHORT=2, BLOCK=3, FLUSH_VALUES=300, CELL_VALUES=200), dict(SHORT=4, BLOCK=2, FLUSH_VALUES=10**6, LEAST_BITS=20)])
 def test_links_equal_all_pairs(spark, monkeypatch, limits):
     for k, v in (limits or {}).items():
         monkeypatch.setattr(ngram_join, k, v)
@@ -99,7 +99,7 @@ def brute_templates(rows, min_docs):
     for doc_id, text in rows:
         own = text.split("\n") if text is not None else []
         for k, line in enumerate(own):
-            tokens = [line_templates.FIELD if re.search("[0-9]", t) else t for t in line.strip(" \t\r\f\v").split()]
+            tokens = [line_templates.FIELD if re.search("[0-9]", t) else t for t in line.split()]
             if tokens:
                 lines.append((doc_id, text, k, tokens, (own[k - 1] if k else None, own[k + 1] if k + 1 < len(own) else None)))
     leaves, place = {}, {}
