@@ -16,11 +16,15 @@ there is no other; an empty table gives no row; other columns are not carried by
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seriesmill.llm.common import BatchWriter, stored, texts
+from seriesmill.llm.common import BatchWriter, rows_in, stored, texts, tidy_task
 
 #: Documents and surroundings in which a template must recur.
 MIN_DOCS = 10
@@ -30,16 +34,65 @@ SIMILAR = 0.7
 FIELD = "<*>"
 
 
+DIGIT = re.compile("[0-9]")
+LINES = "doc_id bigint, text_key bigint, line_no int, leaf bigint, around bigint, masked string"
+
+
+def masked_tokens(line: str) -> list[str]:
+    """Tokens of a line between blanks; one with a digit is a variable field."""
+    tokens = line.split()
+    return [FIELD if DIGIT.search(t) else t for t in tokens] if DIGIT.search(line) else tokens
+
+
+def _hash(text: str) -> int:
+    value = xxhash.xxh64_intdigest(text)
+    return value - (1 << 64) if value >> 63 else value
+
+
+def leaf_of(tokens: list[str], leading: int) -> int:
+    """The leaf of the tree: number of tokens, then the leading ones."""
+    return _hash(f"{len(tokens)} {' '.join(tokens[:leading])}")
+
+
+def leaf_sizes(docs: DataFrame, leading: int = LEADING) -> DataFrame:
+    """(leaf, n): lines per leaf and batch, so that little leaves the tasks."""
+    schema = pa.schema([("leaf", pa.int64()), ("n", pa.int64())])
+
+    def run(batches):
+        for batch in batches:
+            seen = Counter()
+            for _, text in rows_in([batch]):
+                for line in (text or "").split("\n"):
+                    if tokens := masked_tokens(line):
+                        seen[leaf_of(tokens, leading)] += 1
+            yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.int64()), pa.array(list(seen.values()), pa.int64())], schema=schema)
+
+    return docs.select("doc_id", "text").mapInArrow(tidy_task(run), "leaf bigint, n bigint")
+
+
 def lines_of(docs: DataFrame, leading: int = LEADING) -> DataFrame:
-    """(doc_id, text_key, line_no, leaf, around, masked): every line that holds a token, with its leaf and surroundings."""
-    lines = F.split("text", "\n", -1)
-    numbered = F.transform(lines, lambda x, i: F.struct(i.alias("line_no"), x.alias("line"), F.xxhash64(F.get(lines, i - 1), F.get(lines, i + 1)).alias("around")))
-    rows = docs.select("doc_id", F.xxhash64("text").alias("text_key"), F.explode(numbered).alias("l")).select("doc_id", "text_key", "l.*")
-    plain = F.btrim("line", F.lit(" \t\r\f\u000b"))
-    masked = F.when(plain.rlike("[0-9]"), F.regexp_replace(plain, r"\S*[0-9]\S*", FIELD)).otherwise(plain)
-    rows = rows.select("doc_id", "text_key", "line_no", "around", F.split(masked, r"[ \t\r\f\x0B]+").alias("tokens")).where(F.col("tokens")[0] != "")
-    leaf = F.xxhash64(F.size("tokens"), F.slice("tokens", 1, leading))
-    return rows.select("doc_id", "text_key", "line_no", leaf.alias("leaf"), "around", F.array_join("tokens", " ").alias("masked"))
+    """(doc_id, text_key, line_no, leaf, around, masked): every line that holds a token, with its leaf and a hash of the lines
+    before and after it."""
+    schema = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("line_no", pa.int32()), ("leaf", pa.int64()), ("around", pa.int64()), ("masked", pa.string())])
+
+    def run(batches):
+        out = BatchWriter(schema)
+        for batch in batches:
+            keys = batch.column(2)
+            for i, (doc_id, text) in enumerate(rows_in([batch])):
+                if not text:
+                    continue
+                lines, key = text.split("\n"), keys[i].as_py()
+                for k, line in enumerate(lines):
+                    if tokens := masked_tokens(line):
+                        before, after = "\n" + lines[k - 1] if k else "", "\n" + lines[k + 1] if k + 1 < len(lines) else ""
+                        out.add(len(line), doc_id, key, k, leaf_of(tokens, leading), _hash(f"{before}\n\n{after}"), " ".join(tokens))
+                if out.full():
+                    yield out.take()
+        if out.size:
+            yield out.take()
+
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("text_key")).mapInArrow(tidy_task(run), LINES)
 
 
 def agreement(template: list[str], tokens: list[str]) -> float:
@@ -85,21 +138,21 @@ def templates(distinct: DataFrame, similar: float = SIMILAR) -> DataFrame:
             yield out.take()
 
     ordered = distinct.select("leaf", "masked").repartition("leaf").sortWithinPartitions("leaf", "masked")
-    return ordered.mapInArrow(run, "leaf bigint, masked string, template_no int")
+    return ordered.mapInArrow(tidy_task(run), "leaf bigint, masked string, template_no int")
 
 
 def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS, leading: int = LEADING, similar: float = SIMILAR, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text_key, line_no, leaf, template_no, n_docs): the lines to drop."""
-    lines = lines_of(texts(docs, id_col, text_col), leading)
+    own = texts(docs, id_col, text_col)
     # Stored, so that the planner knows its size and sends it to the lines only while that is small.
-    heavy = stored(lines.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_docs).select("leaf"), "leaves")
-    some = stored(lines.join(heavy, "leaf", "left_semi"), "lines")
+    heavy = stored(leaf_sizes(own, leading).groupBy("leaf").agg(F.sum("n").alias("n")).where(F.col("n") >= min_docs).select("leaf"), "leaves")
+    some = stored(lines_of(own, leading).join(heavy, "leaf", "left_semi"), "lines")
     found = templates(some.groupBy("leaf", "masked").agg(F.count(F.lit(1)).alias("n")), similar)
     placed = stored(some.join(found, ["leaf", "masked"]).select("doc_id", "text_key", "line_no", "leaf", "template_no", "around"), "placed")
     keys = ["leaf", "template_no"]
     many = placed.groupBy(*keys, "text_key").agg(F.min("doc_id").alias("least")).groupBy(*keys).agg(F.count(F.lit(1)).alias("n_docs"), F.min("least").alias("kept_doc"))
     wide = placed.groupBy(*keys, "around").agg(F.lit(1).alias("x")).groupBy(*keys).agg(F.count(F.lit(1)).alias("n_around"))
-    recurring = many.where(F.col("n_docs") >= min_docs).join(wide.where(F.col("n_around") >= min_docs), keys)
+    recurring = stored(many.where(F.col("n_docs") >= min_docs).join(wide.where(F.col("n_around") >= min_docs), keys), "recurring")
     out = placed.join(recurring, keys).where(~F.col("doc_id").eqNullSafe(F.col("kept_doc")))
     return out.select("doc_id", "text_key", "line_no", "leaf", "template_no", "n_docs")
 
