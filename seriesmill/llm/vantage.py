@@ -3,7 +3,8 @@
 Vectors are dealt into shards of bounded size; each shard gets a vantage-point tree, stored as one row
 of arrays. A block of queries walks a tree together: at each node a query first enters the side its
 distance to the vantage point says, then the other one if the triangle inequality cannot rule it out.
-The ruling-out radius is divided by ``relax``: with 1 the search is exact, larger values prune more.
+The ruling-out radius is divided by ``relax``: with 1 the search is exact, larger values prune more. In many
+dimensions distances differ little, so only values well above 1 prune at all; measure recall when choosing one.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite components take no part, nor
 do rows without an id; only vectors of the same length are compared; fewer candidates than ``k``: all of
@@ -151,7 +152,7 @@ def build_index(candidates: DataFrame, shard_rows: int = SHARD_ROWS, leaf: int =
     return dealt.groupBy("shard", "dim").applyInPandas(build, "shard bigint, dim int, tree binary")
 
 
-def search(index: DataFrame, queries: DataFrame, k: int = 10, relax: float = 1.5, query_rows: int = QUERY_ROWS) -> DataFrame:
+def search(index: DataFrame, queries: DataFrame, k: int = 10, relax: float = 1.0, query_rows: int = QUERY_ROWS) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest found of each query, over all shards of a stored index.
 
     Queries are put into blocks of bounded size; each block goes to each shard and brings back ``k`` rows per query.
@@ -168,8 +169,10 @@ def search(index: DataFrame, queries: DataFrame, k: int = 10, relax: float = 1.5
         .groupBy("block", F.size("vec").alias("dim"))
         .applyInPandas(gather, "dim int, block bigint, queries binary")
     )
-    # Only the small blocks are repeated; a tree is sent once.
-    work = index.join(grouped, "dim").select("tree", "queries")
+    # The small blocks are repeated, once per shard; a tree is sent once, to the task of its shard.
+    last = index.agg(F.max("shard")).first()[0]
+    grouped = grouped.withColumn("shard", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(last or 0).cast("bigint"))))
+    work = index.join(grouped, ["shard", "dim"]).select("tree", "queries")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
@@ -185,7 +188,7 @@ def search(index: DataFrame, queries: DataFrame, k: int = 10, relax: float = 1.5
     return hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-def nearest(table: DataFrame, queries: DataFrame, k: int = 10, relax: float = 1.5, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
+def nearest(table: DataFrame, queries: DataFrame, k: int = 10, relax: float = 1.0, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """Index all of ``table``, store the index, search it with all of ``queries``."""
     index = stored(build_index(vectors(table, id_col, vec_col)), "vantage")
     return search(index, vectors(queries, id_col, vec_col), k, relax)
