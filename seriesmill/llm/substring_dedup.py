@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from seriesmill.llm.common import BatchWriter, rows_in, stored, texts
+from seriesmill.llm.common import BatchWriter, rows_in, stored, texts, tidy_task
 
 MIN_WORDS = 25
 UNIT = re.compile(r"[^.!?;\n]*[.!?;\n]+|[^.!?;\n]+")
@@ -61,7 +61,7 @@ def units(docs: DataFrame) -> DataFrame:
             yield out.take()
 
     numbered = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row"), F.xxhash64("text").alias("text_key"))
-    return numbered.mapInArrow(run, ", ".join(f"{f.name} {'bigint' if f.type == pa.int64() else 'int'}" for f in schema))
+    return numbered.mapInArrow(tidy_task(run), ", ".join(f"{f.name} {'bigint' if f.type == pa.int64() else 'int'}" for f in schema))
 
 
 def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -71,11 +71,13 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "do
     """
     all_units = stored(units(texts(docs, id_col, text_col)), "units")
     digest = ["h1", "h2"]
-    often = all_units.groupBy(*digest).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*digest)
+    # Sums are stored before they are joined: then both sides of a join come straight from an exchange, and adaptive
+    # execution can split a digest that has very many units.
+    often = stored(all_units.groupBy(*digest).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*digest), "often")
     some = stored(all_units.join(often, digest, "left_semi"), "repeated")
     # Null ids last: a flag before the id.
     rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row", "place")
-    firsts = some.groupBy(*digest).agg(F.min(rank).alias("first"))
+    firsts = stored(some.groupBy(*digest).agg(F.min(rank).alias("first")), "firsts")
     repeats = some.join(firsts, digest).where((F.col("row") != F.col("first.row")) | (F.col("place") != F.col("first.place")))
     in_row = Window.partitionBy("row").orderBy("place")
     islands = repeats.withColumn("island", F.col("place") - F.row_number().over(in_row))
