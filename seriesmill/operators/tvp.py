@@ -267,6 +267,25 @@ def tvp_mle(df: DataFrame, y: str, xs: Sequence[str], keys: Sequence[str] = KEYS
     return _grouped(df, y, xs, keys, order).applyInPandas(run, schema)
 
 
+def tvp_loglik(df: DataFrame, y: str, xs: Sequence[str], variances: Sequence[tuple[float, float]], keys: Sequence[str] = KEYS,
+               order: str = "date", intercept: bool = False) -> DataFrame:
+    """(keys, h, q, loglik): the likelihood that ``tvp_mle`` searches, at given pairs of observation and step variance."""
+    df, xs = _with_intercept(df, xs, intercept)
+    keys = list(keys)
+    h, q = np.array(variances, float).T
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(order)
+        unique_dates(pdf[order])
+        out = pd.DataFrame({"h": h, "q": q, "loglik": loglik(pdf["_y"].to_numpy(), np.array(pdf["_x"].tolist(), float), h, q)})
+        for key in reversed(keys):
+            out.insert(0, key, pdf[key].iloc[0])
+        return out
+
+    types = ", ".join(f"{c} {df.schema[c].dataType.simpleString()}" for c in keys)
+    return _grouped(df, y, xs, keys, order).applyInPandas(run, f"{types}, h double, q double, loglik double")
+
+
 def tvp_predictions(filtered: DataFrame, xs: Sequence[str], keys: Sequence[str] = KEYS, order: str = "date") -> DataFrame:
     """Betas known before each row (previous row's filtered betas, 0 at the start)."""
     w = Window.partitionBy(*keys).orderBy(order)

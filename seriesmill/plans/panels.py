@@ -217,6 +217,12 @@ def ols_diag(spark, sf):
     return tidy(d.drop("f_p").withColumn("f", F.round("f", 4)))
 
 
+@query("ols_f_pvalue", f"{_SEG}, {Q.ols()}, ff AS (SELECT panel_id, f, CAST(n - 6 AS DOUBLE) AS dof FROM fit) SELECT panel_id, {Q.rnd('log10(' + Q.f_tail('f', '5', 'dof') + ')', 'log10_p', 4)} FROM ff")
+def ols_f_pvalue(spark, sf):
+    """p(F) of each panel; its logarithm, as the fits are close and the values tiny."""
+    return tidy(R.ols_diag(segment_returns(spark, sf), "y", X).select("panel_id", F.round(F.log10("f_p"), 4).alias("log10_p")))
+
+
 _STD = ", ".join(f"({c} - avg({c}) OVER w) / stddev_pop({c}) OVER w AS {c}" for c in COLS)
 
 

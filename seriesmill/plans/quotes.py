@@ -379,10 +379,30 @@ _ALL_DAYS = "obs AS (SELECT asset AS series_id, row_number() OVER (PARTITION BY
 )
 def tvp_daily(spark, sf):
     """Batch twin of the stream over all days, the open last one included."""
+    f = K.tvp_filter(_daily(spark, sf), "y", ["x"], 0.001, 100.0, ["asset"]).drop("beta", "se")
+    return tidy(f.withColumns({"innov": F.round("innov", 5), "innov_var": F.round("innov_var", 3)}), exact=["y"])
+
+
+def _daily(spark, sf) -> DataFrame:
     E.use_utc(spark)
     t = S.table(spark, sf, "events").select(
         F.col("event_type").alias("asset"), "ts", "event_id", F.col("value").alias("price"),
         F.get_json_object("props", "$.k").try_cast("double").alias("k"),
     )
-    f = K.tvp_filter(O.daily_pairs(t, decimals=2), "y", ["x"], 0.001, 100.0, ["asset"]).drop("beta", "se")
-    return tidy(f.withColumns({"innov": F.round("innov", 5), "innov_var": F.round("innov_var", 3)}), exact=["y"])
+    return O.daily_pairs(t, decimals=2)
+
+
+_VARIANCES = [(100.0, 0.001), (900.0, 0.001), (900.0, 0.1)]
+
+
+@query(
+    "tvp_loglik",
+    " UNION ALL ".join(
+        f"SELECT * FROM (WITH RECURSIVE {_DAYS}, {_ALL_DAYS}, {Q.kalman(1, q, h)} SELECT series_id AS asset, {h}::DOUBLE AS h, {q}::DOUBLE AS q, "
+        f"{Q.rnd('sum(-0.5 * (ln(2 * pi()) + ln(innov_var) + innov * innov / innov_var))', 'loglik', 3)} FROM kf GROUP BY 1)"
+        for h, q in _VARIANCES
+    ),
+)
+def tvp_loglik(spark, sf):
+    """The likelihood of the daily model at three pairs of variances."""
+    return tidy(K.tvp_loglik(_daily(spark, sf), "y", ["x"], _VARIANCES, ["asset"]), 3)

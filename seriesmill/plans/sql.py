@@ -226,6 +226,14 @@ def t_tail(t: str, dof: str) -> str:
     return f"1 - CASE WHEN {dof} % 2 = 0 THEN {even} ELSE {odd} END"
 
 
+def f_tail(f: str, d1: str, d2: str, terms: int = 4000) -> str:
+    """Upper tail of the F distribution: the incomplete beta function as its series of positive terms."""
+    a, b, x = f"({d2} / 2.0)", f"({d1} / 2.0)", f"({d2} / ({d2} + {d1} * {f}))"
+    front = f"exp({a} * ln({x}) + {b} * ln(1 - {x}) + lgamma({a} + {b}) - lgamma({a} + 1) - lgamma({b}))"
+    term = f"exp(lgamma({a} + {b} + k) - lgamma({a} + {b}) - lgamma({a} + 1 + k) + lgamma({a} + 1) + k * ln({x}))"
+    return f"{front} * list_sum(list_transform(range(0, {terms}), lambda k: {term}))"
+
+
 def lasso(k: int, src: str = "rets", key: str = "panel_id", folds: int = 10, sweeps: int = 40, l1: float = 1.0) -> str:
     """Contiguous cross-validation over 200 penalties; coordinate descent, one coordinate per recursion step.
 
