@@ -342,7 +342,8 @@ def families(alive: DataFrame) -> DataFrame:
     band = F.floor(F.log(F.col("n")) / float(np.log(DENOMINATOR / NUMERATOR)) + 1e-9).cast("int")
     rows = alive.where(F.size("long") > 0).select("key", "n", F.explode("long").alias("val"), band.alias("b"))
     rows = rows.select("key", "n", "val", F.explode(F.array(F.col("b") - 1, F.col("b"))).alias("band"))
-    hubs = rows.groupBy("val", "band").agg(F.min(F.struct("n", "key")).alias("hub"))
+    # Stored before the join, so that adaptive execution can split a list with very many sets.
+    hubs = stored(rows.groupBy("val", "band").agg(F.min(F.struct("n", "key")).alias("hub")), "hubs")
     return rows.join(hubs, ["val", "band"]).select(F.col("hub.key").alias("hub"), "band", "key").distinct()
 
 
@@ -420,6 +421,7 @@ def open_links(family: DataFrame, roots: DataFrame, alive: DataFrame) -> DataFra
     per_root = placed.groupBy("hub", "band", "root").agg(F.count(F.lit(1)).alias("c"))
     tops = per_root.groupBy("hub", "band").agg(F.max(F.struct("c", "root")).alias("top"), F.count(F.lit(1)).alias("roots"), F.sum("c").alias("size")).where("roots > 1")
     tops = tops.select("hub", "band", F.col("top.root").alias("top"), F.ceil(F.col("size") / BLOCK).alias("blocks"), F.ceil((F.col("size") - F.col("top.c")) / BLOCK).alias("chunks"))
+    tops = stored(tops, "tops")
     todo = placed.join(tops, ["hub", "band"]).join(alive.select("key", "n", "shared"), "key")
     block = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")
     chunk = F.pmod(F.xxhash64("key", F.lit(3)), F.col("chunks")).cast("int")
@@ -483,7 +485,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, id_col: str = "doc_id",
     filled = sets.where("n > 0")
     per_key = filled.groupBy("key").agg(F.min("doc_id").alias("least"))
     rooted = per_key.join(roots.withColumnRenamed("node", "key"), "key", "left").select("key", "least", F.coalesce("root", "key").alias("component"))
-    per_root = rooted.groupBy("component").agg(F.min("least").alias("component_id"))
+    per_root = stored(rooted.groupBy("component").agg(F.min("least").alias("component_id")), "names")
     names = rooted.join(per_root, "component").select("key", "component_id", "component")
     linked = filled.join(names, "key").select("doc_id", "text_key", F.col("n").alias("n_shingles"), "component_id", "component")
     alone = sets.where("n = 0").select("doc_id", "text_key", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(None).cast("binary").alias("component"))
