@@ -31,9 +31,11 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 
 
 def worker_cache(key: str, make):
-    """A value kept by the Python worker process between its tasks, such as a loaded vocabulary."""
+    """A value kept by the Python worker process between its tasks, such as a loaded vocabulary. The latest one only: a reused
+    worker shall not hold what earlier stages needed."""
     kept = sys.__dict__.setdefault("_seriesmill_worker_cache", {})
     if key not in kept:
+        kept.clear()
         kept[key] = make()
     return kept[key]
 

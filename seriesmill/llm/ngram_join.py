@@ -44,7 +44,7 @@ WORDS = 5
 #: Required similarity as a fraction.
 NUMERATOR, DENOMINATOR = 80, 100
 SHORT = 64
-FLUSH_VALUES = 1_500_000
+FLUSH_VALUES = 700_000
 CELL_VALUES = 3_000_000
 #: At least 2**6 cells, so that small inputs spread over cores too; at most 2**26, enough for 200 TB of text.
 LEAST_BITS, MOST_BITS = 6, 26
@@ -57,7 +57,7 @@ GOLDEN, MIX_A, MIX_B = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE
 
 class WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 250_000:
+        if len(self) > 120_000:
             self.clear()
         self[word] = value = xxhash.xxh3_64_intdigest(word)
         return value
