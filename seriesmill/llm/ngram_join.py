@@ -6,7 +6,8 @@ rare to frequent; a set has to look only into the lists of its first ``n - ceil(
 that order, as two linked sets always meet there (prefix filtering).
 
 * Short lists (up to ``SHORT`` sets) are heap-merged per set; a candidate must occur often enough for the
-  required overlap to be within reach of the lists left out, which are then probed by binary search.
+  required overlap to be within reach of what both sets hold after the last list in which they meet. Candidates
+  are then compared by binary search.
 * Long lists are never paired up. Sets that meet only there (large groups of near copies) are linked to
   one hub per family of lists; what does not fall into one component that way is searched block against
   block with DivideSkip, so every missing link is still found.
@@ -289,20 +290,23 @@ def survivors(cells: DataFrame) -> DataFrame:
 # --- candidates ----------------------------------------------------------------------------------
 
 
-def merge_lists(me: tuple[int, bytes], lists: list[list[tuple[int, bytes]]], left_out: int) -> list[bytes]:
+def merge_lists(me: tuple[int, bytes], lists: list[list[tuple]], left_out: int | None = None) -> list[bytes]:
     """Heap-merge of the sorted short lists of one set: those after it in (size, key) order that occur often enough.
 
-    ``left_out``: shared shingles of the set without a merged list; they could add one each.
+    ``left_out``: how many shingles the set could share with any other besides the merged lists. Without it, entries have a
+    third field: how many the two could still share after the shingle of the list; the least one counts.
     """
     out, last, times = [], None, 0
 
     def close():
-        if last is not None and last > me and DENOMINATOR * me[0] >= NUMERATOR * last[0] and times + left_out >= least_overlap(me[0], last[0]):
+        if last is None or last[:2] <= me or DENOMINATOR * me[0] < NUMERATOR * last[0]:
+            return
+        if times + (last[2] if left_out is None else left_out) >= least_overlap(me[0], last[0]):
             out.append(last[1])
 
     for entry in heapq.merge(*lists):
-        if entry == last:
-            times += 1
+        if last is not None and entry[:2] == last[:2]:
+            times += 1  # the first entry of a set has the least third field
             continue
         close()
         last, times = entry, 1
@@ -311,27 +315,33 @@ def merge_lists(me: tuple[int, bytes], lists: list[list[tuple[int, bytes]]], lef
 
 
 def short_candidates(alive: DataFrame) -> DataFrame:
-    """(x, y): pairs that meet often enough in short lists."""
-    rows = alive.select("key", "n", F.explode("short").alias("val"))
-    lists = rows.groupBy("val").agg(F.array_sort(F.collect_list(F.struct("n", "key"))).alias("members")).where(F.size("members") > 1)
-    mine = lists.select(F.explode("members").alias("me"), "members").groupBy("me").agg(F.collect_list("members").alias("lists"))
-    counted = mine.select("me.n", "me.key", "lists").join(alive.select("key", F.octet_length("shared").alias("bytes")), "key").select("key", "n", "bytes", "lists")
+    """(x, y): pairs that meet often enough in short lists.
+
+    Lists hold prefixes only, so a list without a set says nothing about its shingle. But prefixes are the first shingles of
+    one order: up to the last list in which two sets meet, they share just the lists they meet in, and after it at most
+    the shared shingles that the one with fewer has left (``after``).
+    """
+    after = (F.octet_length("shared") / 8 - 1).cast("int")
+    rows = alive.select("key", "n", after.alias("after"), F.posexplode("short").alias("pos", "val")).select("val", "key", "n", (F.col("after") - F.col("pos")).alias("after"))
+    lists = rows.groupBy("val").agg(F.array_sort(F.collect_list(F.struct("n", "key", "after"))).alias("members")).where(F.size("members") > 1)
+    mine = lists.select(F.explode("members").alias("me"), "members")
+    mine = mine.groupBy("me.key", "me.n").agg(F.collect_list(F.struct(F.col("me.after").alias("after"), "members")).alias("lists"))
     schema = pa.schema([("x", pa.binary()), ("y", pa.binary())])
 
     def run(batches):
         out = BatchWriter(schema)
         for batch in batches:
             for i in range(batch.num_rows):
-                key, n, size, lists = (batch.column(c)[i].as_py() for c in range(4))
-                plain = [[(m["n"], m["key"]) for m in one] for one in lists]
-                for other in merge_lists((n, key), plain, size // 8 - len(plain)):
+                key, n, lists = (batch.column(c)[i].as_py() for c in range(3))
+                reach = [[(m["n"], m["key"], min(m["after"], one["after"])) for m in one["members"]] for one in lists]
+                for other in merge_lists((n, key), reach):
                     out.add(32, key, other)
                 if out.full():
                     yield out.take()
         if out.size:
             yield out.take()
 
-    return counted.mapInArrow(tidy_task(run), "x binary, y binary")
+    return mine.mapInArrow(tidy_task(run), "x binary, y binary")
 
 
 def families(alive: DataFrame) -> DataFrame:

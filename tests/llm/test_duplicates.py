@@ -42,6 +42,33 @@ def test_links_equal_all_pairs(spark, monkeypatch, limits):
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in out.collect()), key=str) == linked(rows)
 
 
+def grown_copies(seed=5, groups=10):
+    """Groups of three and more: a text, the text with one word changed, and texts with words appended, put before or inserted."""
+    rng = random.Random(seed)
+    rows = []
+    for g in range(groups):
+        base = words(rng, rng.randint(60, 140))
+        changed = list(base)
+        changed[rng.randrange(len(base))] = "changed"
+        k, most = rng.randrange(len(base)), len(base) // 10
+        group = [base, changed, base + words(rng, most), words(rng, most) + base, base[:k] + words(rng, most // 2) + base[k:]]
+        rows += [" ".join(one) for one in group[: rng.randint(3, 5)]]
+    rng.shuffle(rows)
+    return list(enumerate(rows, 100))
+
+
+@pytest.mark.parametrize("limits", [{}, dict(SHORT=2, BLOCK=3, FLUSH_VALUES=300, CELL_VALUES=200)])
+def test_links_of_grown_copies_equal_all_pairs(spark, monkeypatch, limits):
+    for k, v in limits.items():
+        monkeypatch.setattr(ngram_join, k, v)
+    rows = grown_copies()
+    # The case of one group: a set that grew has its own shingles first and misses most lists of the others.
+    base = [f"v{i}" for i in range(104)]
+    rows += [(1, " ".join(base)), (2, " ".join(["other"] + base[1:])), (3, " ".join(base + [f"z{i}" for i in range(10)]))]
+    out = ngram_join.near_duplicates(documents(spark, rows).repartition(3))
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in out.collect()), key=str) == linked(rows)
+
+
 def test_links_of_awkward_documents(spark):
     out = ngram_join.near_duplicates(documents(spark)).collect()
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in out), key=str) == linked(TEXTS)
