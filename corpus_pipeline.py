@@ -35,7 +35,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines of recurring templates are gone from all documents but the first."""
-    return _measured(line_templates.without_lines(docs, line_templates.dropped_lines(docs)))
+    return _measured(line_templates.without_lines(docs, line_templates.dropped_lines(docs, min_around=line_templates.MIN_AROUND)))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,8 +2,9 @@
 
 Lines are parsed by a tree of fixed depth: number of tokens, then the leading tokens, where a token with a
 digit is a variable field. In a leaf, lines whose tokens agree in enough places share a template; places
-where they differ become variable fields. A template that recurs in many documents, in different
-surroundings, is dropped from all of them but the first, so that a group of copies leaves one.
+where they differ become variable fields. A template that recurs in many documents is dropped from
+all of them but the first, so that a group of copies leaves one. Different surroundings can be asked for besides
+(``min_around``); inner lines of a notice have the same neighbours everywhere, so the queries do without.
 
 Leaves with fewer lines than a template needs are set aside by counting hashes, before any text moves.
 The others are parsed as sorted streams of their distinct lines; a task holds the templates of one leaf.
@@ -26,8 +27,10 @@ from pyspark.sql import functions as F
 
 from seriesmill.llm.common import BatchWriter, rows_in, stored, texts, tidy_task
 
-#: Documents and surroundings in which a template must recur.
+#: Documents in which a template must recur.
 MIN_DOCS = 10
+#: Surroundings in which it must recur in the queries: lines inside a notice have one only.
+MIN_AROUND = 1
 LEADING = 3
 #: Share of places in which a line must agree with a template.
 SIMILAR = 0.7
@@ -141,8 +144,9 @@ def templates(distinct: DataFrame, similar: float = SIMILAR) -> DataFrame:
     return ordered.mapInArrow(tidy_task(run), "leaf bigint, masked string, template_no int")
 
 
-def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS, leading: int = LEADING, similar: float = SIMILAR, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, text_key, line_no, leaf, template_no, n_docs): the lines to drop."""
+def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS, leading: int = LEADING, similar: float = SIMILAR, id_col: str = "doc_id", text_col: str = "text", min_around: int | None = None) -> DataFrame:
+    """(doc_id, text_key, line_no, leaf, template_no, n_docs): the lines to drop. ``min_around``: different pairs of neighbour
+    lines asked for besides documents; as many as those unless given."""
     own = texts(docs, id_col, text_col)
     # Stored, so that the planner knows its size and sends it to the lines only while that is small.
     heavy = stored(leaf_sizes(own, leading).groupBy("leaf").agg(F.sum("n").alias("n")).where(F.col("n") >= min_docs).select("leaf"), "leaves")
@@ -151,8 +155,11 @@ def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS, leading: int = LEAD
     placed = stored(some.join(found, ["leaf", "masked"]).select("doc_id", "text_key", "line_no", "leaf", "template_no", "around"), "placed")
     keys = ["leaf", "template_no"]
     many = placed.groupBy(*keys, "text_key").agg(F.min("doc_id").alias("least")).groupBy(*keys).agg(F.count(F.lit(1)).alias("n_docs"), F.min("least").alias("kept_doc"))
-    wide = placed.groupBy(*keys, "around").agg(F.lit(1).alias("x")).groupBy(*keys).agg(F.count(F.lit(1)).alias("n_around"))
-    recurring = stored(many.where(F.col("n_docs") >= min_docs).join(wide.where(F.col("n_around") >= min_docs), keys), "recurring")
+    many = many.where(F.col("n_docs") >= min_docs)
+    if (min_around := min_docs if min_around is None else min_around) > 1:
+        wide = placed.groupBy(*keys, "around").agg(F.lit(1).alias("x")).groupBy(*keys).agg(F.count(F.lit(1)).alias("n_around"))
+        many = many.join(wide.where(F.col("n_around") >= min_around), keys)
+    recurring = stored(many, "recurring")
     out = placed.join(recurring, keys).where(~F.col("doc_id").eqNullSafe(F.col("kept_doc")))
     return out.select("doc_id", "text_key", "line_no", "leaf", "template_no", "n_docs")
 

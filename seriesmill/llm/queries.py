@@ -72,7 +72,7 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of templates that recur across documents."""
-    return line_templates.dropped_lines(table(spark, sf_dir, "documents")).select("doc_id", "line_no", "leaf", "template_no", "n_docs")
+    return line_templates.dropped_lines(table(spark, sf_dir, "documents"), min_around=line_templates.MIN_AROUND).select("doc_id", "line_no", "leaf", "template_no", "n_docs")
 
 
 @query

@@ -118,6 +118,25 @@ def test_templates_generalise_and_drop(spark):
     assert line_templates.dropped_lines(docs.where("false")).count() == 0
 
 
+def test_notices_of_several_lines_go(spark, tmp_path):
+    """By the query and the stage: three lines in the middle, at the start and at the end of otherwise different documents."""
+    notice = {w: [f"{w} notice", f"{w} parts may not be copied by anyone", f"{w} rights are all reserved"] for w in ("middle", "start", "end")}
+    name = lambda i, k: "".join(chr(97 + int(d)) for d in f"{i:02d}{k}")
+    rows = []
+    for i in range(36):
+        own, where = [f"{name(i, k)} own text" for k in range(2)], ("middle", "start", "end")[i % 3]
+        lines = {"middle": [own[0], *notice[where], own[1]], "start": notice[where] + own, "end": own + notice[where]}[where]
+        rows.append((i, "\n".join(lines)))
+    docs = documents(spark, rows)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    first = {"middle": 1, "start": 0, "end": 2}
+    want = {(i, first[w] + k) for i in range(3, 36) for w in [("middle", "start", "end")[i % 3]] for k in range(3)}
+    got = queries.QUERIES["op6_line_templates"](spark, str(tmp_path)).collect()
+    assert {(r.doc_id, r.line_no) for r in got} == want
+    left = {r.doc_id: r.text for r in corpus_pipeline.drop_recurring_lines(spark, docs, "").collect()}
+    assert left == {i: "\n".join(x for k, x in enumerate(t.split("\n")) if (i, k) not in want) for i, t in rows}
+
+
 def brute_templates(rows, min_docs):
     """The same tree over all lines in one loop."""
     import re
