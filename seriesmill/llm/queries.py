@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesmill.llm import chat_format, fingerprints, language_id, line_templates, ngram_join, packing, sentencepiece_spans, substring_dedup, token_counts, vantage
+from seriesmill.llm import chat_format, fingerprints, importance, language_id, line_templates, ngram_join, packing, sentencepiece_spans, substring_dedup, token_counts, vantage
 from seriesmill.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,6 +21,10 @@ TOKEN_LIMIT = 4096
 NEIGHBOURS = 10
 #: How far the ruling-out radius is relaxed: recall 0.95 on 51,282 vectors of 64 dimensions (README).
 RELAX = 6.5
+PERCENT_DRAWN = 10
+LEAST_WORDS = 20
+BUCKETS = 10_000
+SEED = 2024
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -116,6 +120,13 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight and score of every document towards the benchmark texts, and the rank of the tenth that is drawn."""
+    out = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), PERCENT_DRAWN, LEAST_WORDS, 1, BUCKETS, SEED)
+    return out.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 ORACLES["op10_chat"] = """
 WITH turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -152,3 +163,44 @@ SELECT doc_id, min(start)::BIGINT AS start, (max(start + len) - min(start))::BIG
   sum(words)::BIGINT AS n_words, arg_min(first_doc, place)::BIGINT AS kept_doc_id
 FROM islands GROUP BY doc_id, island HAVING sum(words) >= 25
 """
+
+ORACLES["op13_importance"] = r"""
+WITH tab AS (
+  SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t
+), docs AS (
+  SELECT row_number() OVER () AS row_id, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+  FROM documents
+), doc_words AS (
+  SELECT row_id, unnest(ws) AS w FROM docs
+), aim_words AS (
+  SELECT unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w
+  FROM benchmark
+), vocabulary AS (
+  SELECT w, hex(encode(w)) AS h FROM (SELECT w FROM doc_words UNION SELECT w FROM aim_words)
+), hashed AS (
+  SELECT w, xor(list_reduce(list_concat([4294967295], list_transform(range(length(h) // 2), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::BIGINT)),
+    lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)])), 4294967295) % 10000 AS bucket
+  FROM vocabulary, tab
+), s AS (
+  SELECT bucket, count(*) AS n FROM doc_words JOIN hashed USING (w) GROUP BY bucket
+), t AS (
+  SELECT bucket, count(*) AS n FROM aim_words JOIN hashed USING (w) GROUP BY bucket
+), gains AS (
+  SELECT s.bucket, floor(1000 * ln((coalesce(t.n, 0) + 1)::DOUBLE * ((SELECT sum(n) FROM s) + 10000)::DOUBLE
+    / ((s.n + 1)::DOUBLE * (coalesce((SELECT sum(n) FROM t), 0) + 10000)::DOUBLE)))::BIGINT AS gain
+  FROM s LEFT JOIN t USING (bucket)
+), weighed AS (
+  SELECT row_id, floor(sum(gain) / count(*))::BIGINT AS weight FROM doc_words JOIN hashed USING (w) JOIN gains USING (bucket) GROUP BY row_id
+), scored AS (
+  SELECT row_id, doc_id, len(ws)::BIGINT AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0)
+    + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || doc_id::VARCHAR), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM docs LEFT JOIN weighed USING (row_id)
+), ranked AS (
+  SELECT row_id, row_number() OVER (ORDER BY score DESC, doc_id) AS r, count(*) OVER () AS n FROM scored WHERE n_features >= 20
+)
+SELECT doc_id, n_features, weight, score, (CASE WHEN r <= 10 * n // 100 THEN r END)::BIGINT AS rank
+FROM scored LEFT JOIN ranked USING (row_id)
+"""
