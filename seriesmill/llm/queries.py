@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesmill.llm import chat_format, fingerprints, importance, language_id, line_templates, ngram_join, packing, sentencepiece_spans, substring_dedup, token_counts, vantage
+from seriesmill.llm import chat_format, fingerprints, importance, language_id, line_templates, ngram_join, packing, sentencepiece_spans, substring_dedup, token_alignment, token_counts, vantage
+from seriesmill.llm.common import stored
 from seriesmill.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -120,6 +121,18 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links between the byte-level and the sentencepiece tokens of every document, with corpus-wide counts."""
+    codes = token_alignment.Codes(public_tokenizers.path(BYTE_VOCABULARY), public_tokenizers.path(PIECE_MODEL))
+    found = token_alignment.aligned_tokens(table(spark, sf_dir, "documents"), codes)
+    digest = F.when(F.col("groups") != "", F.sha2("groups", 256)).otherwise("")
+    found = stored(found.withColumn("groups_sha256", digest).drop("groups"), "alignment")
+    pairs = stored(token_alignment.pair_counts(found, codes), "pairs")
+    out = token_alignment.with_links(found, pairs, codes)
+    return out.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 @query
 def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weight and score of every document towards the benchmark texts, and the rank of the tenth that is drawn."""
