@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesmill.llm import chat_format, fingerprints, importance, language_id, line_templates, ngram_join, packing, sentencepiece_spans, substring_dedup, token_alignment, token_counts, vantage
+from seriesmill.llm import chat_format, fingerprints, golay_simhash, importance, language_id, line_templates, ngram_join, packing, sentencepiece_spans, substring_dedup, token_alignment, token_counts, vantage
 from seriesmill.llm.common import stored
 from seriesmill.sources.tables import table
 
@@ -133,6 +133,13 @@ def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
 
 
+@query
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose SimHash fingerprints differ in four bits at most."""
+    out = golay_simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 @query
 def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weight and score of every document towards the benchmark texts, and the rank of the tenth that is drawn."""
