@@ -9,6 +9,8 @@ without such a bound (ticks) go through ``operators.long_series``.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -16,6 +18,13 @@ from pyspark.sql import functions as F
 KEYS = ("series_id",)
 
 
+def join_back(df: DataFrame, totals: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows with the aggregates of their group. As in a grouping, rows without a key are a group too: none is lost."""
+    own = totals.withColumnsRenamed({k: f"_of_{k}" for k in keys})
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_of_{k}")) if df.schema[k].nullable else F.col(k) == F.col(f"_of_{k}") for k in keys])
+    return df.join(own, same).drop(*[f"_of_{k}" for k in keys])
+
+
 def by(keys: Sequence[str] = KEYS, order: str = "date"):
     return Window.partitionBy(*keys).orderBy(order)
 
@@ -136,7 +145,7 @@ def standings(df: DataFrame, value: str, name: str, keys: Sequence[str]) -> Data
 def share_of_max(df: DataFrame, value: str, keys: Sequence[str]) -> DataFrame:
     """Percent of the largest value of each group; the maximum is an aggregate joined back."""
     top = df.groupBy(*keys).agg(F.max(value).alias("_top"))
-    return df.join(top, list(keys)).withColumn("share", F.round(F.try_divide(F.col(value) * 100, F.col("_top")), 0)).drop("_top")
+    return join_back(df, top, keys).withColumn("share", F.round(F.try_divide(F.col(value) * 100, F.col("_top")), 0)).drop("_top")
 
 
 def clamp_share(df: DataFrame, scale: float, value="value") -> DataFrame:
@@ -148,7 +157,7 @@ def minmax(df: DataFrame, value="value", keys=KEYS) -> DataFrame:
     ends = df.groupBy(*keys).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
     lo, hi = F.col("_lo"), F.col("_hi")
     rng = F.when(hi == lo, F.lit(1.0)).otherwise(hi - lo)
-    return df.join(ends, list(keys)).withColumn("scaled", (F.col(value) - lo) / rng).drop("_lo", "_hi")
+    return join_back(df, ends, keys).withColumn("scaled", (F.col(value) - lo) / rng).drop("_lo", "_hi")
 
 
 def header_flag(df: DataFrame, category: str, keys: Sequence[str], order: str) -> DataFrame:

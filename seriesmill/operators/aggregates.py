@@ -207,11 +207,11 @@ def recent_trend(df: DataFrame, n: int = 4, value: str = "resid", keys: Sequence
     return g.withColumn("trend", F.when(F.col("recent_mean") > 0, "Richening").otherwise("Cheapening"))
 
 
-def r_squared(df: DataFrame, actual: str, resid: str, keys: Sequence[str]) -> DataFrame:
-    """1 - sum(e^2) / sum((y - mean)^2), rows without a residual skipped in the first sum."""
+def r_squared(df: DataFrame, actual: str, resid: str, keys: Sequence[str], *more: Column) -> DataFrame:
+    """1 - sum(e^2) / sum((y - mean)^2), rows without a residual skipped in the first sum; ``more``: other aggregates of the groups."""
     e = F.col(resid)
     total = F.var_pop(actual) * F.count(actual)
-    return df.groupBy(*keys).agg((1 - F.try_divide(F.sum(e * e), total)).alias("r2"))
+    return df.groupBy(*keys).agg((1 - F.try_divide(F.sum(e * e), total)).alias("r2"), *more)
 
 
 def durbin_watson(df: DataFrame, resid: str = "resid", keys: Sequence[str] = KEYS, date: str = "date") -> DataFrame:
@@ -271,7 +271,7 @@ def contribution(df: DataFrame, keys: Sequence[str], weight: str = "weight", cha
     """
     part = F.col(weight) * F.col(change)
     total = df.groupBy(*keys).agg(F.sum(part).alias("_total"))
-    j = df.join(total, list(keys))
+    j = W.join_back(df, total, keys)
     return j.withColumn("share", F.try_divide(part, F.col("_total"))).drop("_total")
 
 
@@ -283,7 +283,7 @@ def largest_since(df: DataFrame, value: str = "value", keys: Sequence[str] = KEY
     d = df.filter(F.col(value).isNotNull())
     latest = d.groupBy(*keys).agg(F.max_by(value, date).alias("_cur"), F.max(date).alias("_cd"))
     hit = (F.col(value) >= F.col("_cur")) & (F.col(date) < F.col("_cd"))
-    return d.join(latest, list(keys)).groupBy(*keys).agg(
+    return W.join_back(d, latest, keys).groupBy(*keys).agg(
         F.max("_cd").alias("date"), F.max("_cur").alias("current"), F.max(F.when(hit, F.col(date))).alias("largest_since")
     )
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seriesmill.functions.scalars import nan_to
+from seriesmill.functions.windows import join_back
 
 
 def select_factors(df: DataFrame, names: Sequence[str], keys: Sequence[str] = ("panel_id", "date")) -> DataFrame:
@@ -32,7 +33,7 @@ def filter_metric(df: DataFrame, suffix: str, col: str) -> DataFrame:
 def min_points(df: DataFrame, n: int, keys: Sequence[str] = ("series_id",), value: str = "value") -> DataFrame:
     """Keep the rows of series with at least ``n`` available points; the counts are joined back."""
     counts = df.groupBy(*keys).agg(F.count(value).alias("points")).filter(F.col("points") >= n)
-    return df.join(counts, list(keys))
+    return join_back(df, counts, keys)
 
 
 def value_at(df: DataFrame, date: str, value: str = "value", keys: Sequence[str] = ("series_id",)) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from seriesmill.functions.windows import join_back
 from seriesmill.operators.regression import KEYS, complete, full_matrix, gram, packed, standardise
 
 
@@ -57,7 +58,7 @@ def loadings(fit: DataFrame, cols: Sequence[str], keys: Sequence[str] = KEYS) ->
 
 def scores(df: DataFrame, fit: DataFrame, cols: Sequence[str], keys: Sequence[str] = KEYS, order: str = "date") -> DataFrame:
     """(keys, date, pc1..): standardised rows projected on the components, in the JVM."""
-    z = standardise(df.filter(complete(cols)), cols, keys).join(fit.select(*keys, "loadings"), list(keys))
+    z = join_back(standardise(df.filter(complete(cols)), cols, keys), fit.select(*keys, "loadings"), keys)
 
     def project(pc: int):
         out = F.lit(0.0)

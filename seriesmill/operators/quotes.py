@@ -47,7 +47,7 @@ def cards(closes: DataFrame, n: int = 8, keys: Sequence[str] = ("asset",)) -> Da
     pct = F.coalesce(F.try_divide(chg, F.col("_p")) * 100, F.lit(0.0))
     g = g.withColumns({"change": F.coalesce(chg, F.lit(0.0)), "change_pct": pct}).drop("_p")
     g = g.withColumn("class", X.positive_class("change_pct"))
-    return g.join(sparkline(closes, n, "value", keys), list(keys))
+    return W.join_back(g, sparkline(closes, n, "value", keys), keys)
 
 
 def briefing_inputs(ticks: DataFrame, as_of: str, move_pct: float, max_age: str, key="asset") -> DataFrame:

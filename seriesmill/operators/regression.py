@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from seriesmill.functions.tails import f_upper, t_two_sided
+from seriesmill.functions.windows import join_back
 
 KEYS = ("panel_id",)
 
@@ -172,7 +173,7 @@ def ols_apply(df: DataFrame, fit: DataFrame, y: str, xs: Sequence[str], keys: Se
     fitted = F.col("_b")[0]
     for i, x in enumerate(xs, 1):
         fitted = fitted + F.col("_b")[i] * F.col(x)
-    j = df.filter(complete([y, *xs])).join(c, list(keys)).withColumn("fitted", fitted).drop("_b")
+    j = join_back(df.filter(complete([y, *xs])), c, keys).withColumn("fitted", fitted).drop("_b")
     return j.withColumn("resid", F.col(y) - F.col("fitted"))
 
 
@@ -186,7 +187,7 @@ def ols_diag(df: DataFrame, y: str, xs: Sequence[str], keys: Sequence[str] = KEY
         *keys, "n", F.col("fit.r2").alias("r2"), F.col("fit.adj_r2").alias("adj_r2"), F.col("fit.f").alias("f"),
         F.col("fit.f_p").alias("f_p"),
     )
-    return flat.join(dw, list(keys))
+    return join_back(flat, dw, keys)
 
 
 def standardise(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = KEYS) -> DataFrame:
@@ -195,7 +196,7 @@ def standardise(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = KEYS)
     Moments are aggregated first and joined back as one row per panel.
     """
     aggs = [f(c).alias(f"_{k}_{c}") for c in cols for k, f in (("m", F.avg), ("s", F.stddev_pop))]
-    j = df.join(df.groupBy(*keys).agg(*aggs), list(keys))
+    j = join_back(df, df.groupBy(*keys).agg(*aggs), keys)
     z = {}
     for c in cols:
         s = F.when(F.col(f"_s_{c}") == 0, F.lit(1.0)).otherwise(F.col(f"_s_{c}"))

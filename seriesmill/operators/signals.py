@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from seriesmill.functions import windows as W
 from seriesmill.functions.scalars import verdict
+from seriesmill.functions.windows import join_back
 from seriesmill.operators.aggregates import r_squared
-from seriesmill.operators.joins import compare_betas
-from seriesmill.operators.regression import ols, ols_apply, ols_betas, ols_fit
+from seriesmill.operators.regression import ols_apply, ols_betas, ols_fit
 
 KEYS = ("panel_id",)
 
@@ -69,12 +69,18 @@ def rich_cheap_tvp(filtered: DataFrame, n: int = 52, n_cum: int = 104, burn: int
 
 
 def model_compare(panel: DataFrame, smoothed: DataFrame, y: str, xs: Sequence[str], keys: Sequence[str] = KEYS) -> DataFrame:
-    """Latest smoothed beta against the static one per factor, and the gain in R2 in percentage points."""
-    static = ols(panel, y, xs, keys).filter("term <> 'intercept'")
-    latest = smoothed.groupBy(*keys, "term").agg(F.max_by("beta", "date").alias("coef"))
-    delta = compare_betas(latest, static, [*keys, "term"])
-    one_term = smoothed.filter(F.col("term") == xs[0]).withColumn("_e", F.col("y") - F.col("fitted"))
-    tvp_r2 = r_squared(one_term, "y", "_e", keys).withColumnRenamed("r2", "tvp_r2")
-    ols_r2 = ols_fit(panel, y, xs, keys).select(*keys, F.col("fit.r2").alias("ols_r2"))
-    gain = tvp_r2.join(ols_r2, list(keys)).withColumn("gain_pp", (F.col("tvp_r2") - F.col("ols_r2")) * 100)
-    return delta.withColumnsRenamed({"coef_a": "tvp_beta", "coef_b": "ols_beta"}).join(gain, list(keys))
+    """Latest smoothed beta against the static one per factor, and the gain in R2 in percentage points.
+
+    One fit per panel gives both its coefficients and its R2; every term of the smoothed rows carries the fitted values,
+    so one grouping gives the latest beta and the R2 of the moving model.
+    """
+    fit = ols_fit(panel, y, xs, keys)
+    named = F.arrays_zip(F.array(*[F.lit(x) for x in xs]).alias("term"), F.slice("fit.coef", 2, len(xs)).alias("ols_beta"))
+    static = fit.select(*keys, F.col("fit.r2").alias("ols_r2"), F.inline(named).alias("term", "ols_beta"))
+    resid = smoothed.withColumn("_e", F.col("y") - F.col("fitted"))
+    moving = r_squared(resid, "y", "_e", [*keys, "term"], F.max_by("beta", "date").alias("tvp_beta")).withColumnRenamed("r2", "tvp_r2")
+    both = join_back(moving, static, [*keys, "term"])
+    return both.select(
+        *keys, "term", "tvp_beta", "ols_beta", (F.col("tvp_beta") - F.col("ols_beta")).alias("delta"), "tvp_r2", "ols_r2",
+        ((F.col("tvp_r2") - F.col("ols_r2")) * 100).alias("gain_pp"),
+    )

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,18 +27,55 @@ CARD_SCHEMA = (
 def read_series_json(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Nested series documents, one row per observation: (series_id, date, value).
 
-    Files are given in order and a later file replaces a series of an earlier one, as
-    does a later entry of the same file; series without data replace nothing. One reader
-    takes all files; their order is a small table by file name. The winner is picked by a
-    mergeable aggregate per series, never by sorting all rows of a series in one task.
+    Files, folders and patterns are given in order; the files of a folder or pattern follow in the order of their full
+    paths. A later file replaces a series of an earlier one, as does a later entry of the same file; series without data
+    replace nothing. One reader takes all files; their order is a small table by full path, and a file that is read
+    without being in it stops the job. The winner is picked by a mergeable aggregate per series, never by sorting all
+    rows of a series in one task.
     """
-    name = F.element_at(F.split(F.col("path"), "/"), -1)
-    given = [(p.rstrip("/").rsplit("/", 1)[-1], i) for i, p in enumerate(paths)]
-    if len({n for n, _ in given}) < len(given):
-        raise ValueError("files need different names, as their order goes by name")
-    order = spark.createDataFrame(given, "file string, file_no int")
-    docs = spark.read.schema(SERIES_SCHEMA).option("multiLine", True).json(list(paths)).withColumn("path", F.url_decode("_metadata.file_path"))
-    return _latest_series(docs.withColumn("file", name).join(order, "file"))
+    files = files_of(spark, paths)
+    if len(set(files)) < len(files):
+        raise ValueError("a file is given twice, so it has no place in the order")
+    order = spark.createDataFrame(list(enumerate(files)), "file_no int, file string")
+    # The reader gives paths as encoded URIs, in which a plus is a plus.
+    read = _plain(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))))
+    docs = spark.read.schema(SERIES_SCHEMA).option("multiLine", True).json([_literal(f) for f in files]).withColumn("file", read)
+    placed = docs.join(order.withColumn("file", _plain(F.col("file"))), "file", "left")
+    lost = F.raise_error(F.concat(F.lit("file without a place in the order: "), F.col("file"))).cast("int")
+    return _latest_series(placed.withColumn("file_no", F.coalesce("file_no", lost)))
+
+
+def _plain(uri: Column) -> Column:
+    """A path with one slash behind its scheme, however many it came with."""
+    return F.regexp_replace(uri, "^([A-Za-z][A-Za-z0-9+.-]*):/+", "$1:/")
+
+
+def _literal(path: str) -> str:
+    """A path as a pattern that matches nothing else."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
+
+
+def files_of(spark: SparkSession, paths: Sequence[str]) -> list[str]:
+    """The files behind paths, folders and patterns, in order; hidden files and folders are left out. Nothing found: an error."""
+    out = []
+    for path in paths:
+        start = spark._jvm.org.apache.hadoop.fs.Path(path)
+        fs = start.getFileSystem(spark._jsc.hadoopConfiguration())
+        found = fs.globStatus(start)
+        here = []
+        for status in found or []:
+            if not status.isDirectory():
+                here.append(status.getPath().toString())
+                continue
+            top, inside = status.getPath().toString(), fs.listFiles(status.getPath(), True)
+            while inside.hasNext():
+                file = inside.next().getPath().toString()
+                if not any(part.startswith(("_", ".")) for part in file[len(top) :].split("/")):
+                    here.append(file)
+        if not here:
+            raise FileNotFoundError(f"no file at {path}")
+        out += sorted(here)
+    return out
 
 
 def series_from_documents(df: DataFrame, body: str, order: str) -> DataFrame:

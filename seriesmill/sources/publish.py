@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,18 +40,28 @@ def remove(spark: SparkSession, path: str) -> None:
 def publish(df: DataFrame, path: str, section: str) -> None:
     """Replace one section of a table and leave the others as they are; repeating it changes nothing.
 
-    An empty result writes no file, so its old section is removed explicitly: it must not stay in place.
+    The rows are computed once and written beside the table under a hidden name; then the old section is moved aside and
+    the new one takes its place, so readers never meet a half-written one. An empty result leaves no section.
     """
-    if df.isEmpty():
-        remove(df.sparkSession, f"{path.rstrip('/')}/section={quote(section, safe=' ')}")
-        return
-    (
-        df.withColumn("section", F.lit(section))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("section")
-        .parquet(path)
-    )
+    spark, root = df.sparkSession, path.rstrip("/")
+    held = f"{root}/section={quote(section, safe=' ')}"
+    new, old = (f"{root}/_{kind}-{uuid.uuid4().hex}" for kind in ("new", "old"))
+    df.write.parquet(new)
+    empty = spark.read.schema(df.schema).parquet(new).isEmpty()
+    _move(spark, held, old)
+    if empty:
+        remove(spark, new)
+    else:
+        _move(spark, new, held)
+    remove(spark, old)
+
+
+def _move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder; a missing one is fine."""
+    a, b = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (source, target))
+    fs = a.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(a) and not fs.rename(a, b):
+        raise OSError(f"cannot move {source} to {target}")
 
 
 def write_report(lines: DataFrame, path: str, report: str = "report_id") -> None:

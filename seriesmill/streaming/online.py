@@ -21,11 +21,12 @@ def daily_pairs(ticks: DataFrame, delay: str = DELAY, decimals: int = 8) -> Data
     """Daily means per asset: (asset, date, y, x). Batch or stream; a day is released once the watermark has passed it.
 
     Sums are taken over whole numbers of the feed's smallest step, ``decimals`` places, so they do not depend on the
-    order of arrival; the default keeps eight places of values below about 10 billion.
+    order of arrival; the default keeps eight places of values below about 90 billion. Sums have 38 digits, enough for any day.
     """
     t = ticks.withColumn("ts", F.col("ts").cast("timestamp"))
     g = t.withWatermark("ts", delay).groupBy(F.window("ts", "1 day").alias("w"), "asset")
-    agg = g.agg(F.sum(scaled(F.col("price"), decimals)).alias("p"), F.sum(scaled(F.col("k"), decimals)).alias("k"), F.count(F.lit(1)).alias("n"))
+    whole = lambda c: F.sum(scaled(F.col(c), decimals).cast("decimal(38,0)"))
+    agg = g.agg(whole("price").alias("p"), whole("k").alias("k"), F.count(F.lit(1)).alias("n"))
     return agg.select(
         "asset", F.col("w.start").cast("date").alias("date"), mean_of(F.col("p"), F.col("n"), decimals).alias("y"),
         mean_of(F.col("k"), F.col("n"), decimals).alias("x"),
