@@ -3,8 +3,8 @@
 The recursion is sequential inside a series and independent between series. Spark
 shuffles and sorts the rows by (series, date); the forward filter then reads its
 partition as a stream of Arrow batches and keeps only the state (b, P) between rows,
-so the length of a series does not matter for memory. The backward smoother and
-the likelihood search need a whole series, which holds one row per date.
+so the length of a series does not matter for memory. The backward smoother needs a
+whole series, which holds one row per date; ``tvp_parallel`` has both for series of any length.
 """
 
 from __future__ import annotations
@@ -217,59 +217,9 @@ def loglik(y: np.ndarray, x: np.ndarray, h: np.ndarray, q: np.ndarray) -> np.nda
     return total
 
 
-def maximise(y: np.ndarray, x: np.ndarray, points: int = 15, rounds: int = 4, widest: int = 4) -> tuple[float, float, float, bool]:
-    """Grid in log10(h), log10(q) around the sample variance, refined around its best cell.
-
-    While the best cell lies on an edge of the first grid, the grid moves on to that edge, ``widest`` times at most;
-    the last result tells whether it still lies there.
-    """
-    var = float(np.var(y)) or 1.0
-    xvar = float(np.mean(x * x)) or 1.0
-    ch, cq = np.log10(var) - 1.0, np.log10(var / xvar) - 4.0
-    wh, wq = 2.0, 5.0
-    moves, edge, done = 0, False, 0
-    while done < rounds:
-        gh, gq = np.meshgrid(np.linspace(ch - wh, ch + wh, points), np.linspace(cq - wq, cq + wq, points), indexing="ij")
-        gh, gq = gh.ravel(), gq.ravel()
-        ll = loglik(y, x, 10.0**gh, 10.0**gq)
-        best = int(np.argmax(ll))
-        ch, cq, top = gh[best], gq[best], float(ll[best])
-        row, column = divmod(best, points)
-        if done == 0:
-            edge = {row, column} & {0, points - 1} != set()
-            if edge and moves < widest:
-                moves += 1
-                continue
-        wh, wq, done = wh * 2.5 / (points - 1), wq * 2.5 / (points - 1), done + 1
-    return 10.0**ch, 10.0**cq, top, edge
-
-
-def tvp_mle(df: DataFrame, y: str, xs: Sequence[str], keys: Sequence[str] = KEYS, order: str = "date", points: int = 15,
-            rounds: int = 4, intercept: bool = False) -> DataFrame:
-    """(keys, n, sigma2_obs, sigma2_state, loglik, at_bound) by maximum likelihood per series.
-
-    ``at_bound``: the optimum lies at the end of the widest range searched, usually because the betas do not move.
-    """
-    df, xs = _with_intercept(df, xs, intercept)
-    keys = list(keys)
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order)
-        unique_dates(pdf[order])
-        h, q, ll, edge = maximise(pdf["_y"].to_numpy(), np.array(pdf["_x"].tolist(), float), points, rounds)
-        out = pdf[keys].head(1).copy()
-        out["n"], out["sigma2_obs"], out["sigma2_state"], out["loglik"] = len(pdf), h, q, ll
-        out["at_bound"] = edge
-        return out
-
-    types = ", ".join(f"{c} {df.schema[c].dataType.simpleString()}" for c in keys)
-    schema = f"{types}, n bigint, sigma2_obs double, sigma2_state double, loglik double, at_bound boolean"
-    return _grouped(df, y, xs, keys, order).applyInPandas(run, schema)
-
-
 def tvp_loglik(df: DataFrame, y: str, xs: Sequence[str], variances: Sequence[tuple[float, float]], keys: Sequence[str] = KEYS,
                order: str = "date", intercept: bool = False) -> DataFrame:
-    """(keys, h, q, loglik): the likelihood that ``tvp_mle`` searches, at given pairs of observation and step variance."""
+    """(keys, h, q, loglik): the likelihood that ``tvp_score.tvp_mle`` searches, at given pairs of observation and step variance."""
     df, xs = _with_intercept(df, xs, intercept)
     keys = list(keys)
     h, q = np.array(variances, float).T

@@ -13,6 +13,7 @@ from seriesmill.operators import regression as R
 from seriesmill.operators import signals as G
 from seriesmill.operators import sparse as L
 from seriesmill.operators import tvp as K
+from seriesmill.operators import tvp_score as KS
 from seriesmill.operators.cleaning import drop_incomplete, is_selected, select_factors
 from seriesmill.plans import sql as Q
 from seriesmill.plans.registry import query, tidy
@@ -411,20 +412,41 @@ def rich_cheap_tvp(spark, sf):
     return tidy(G.rich_cheap_tvp(_filtered(spark, sf), 12, 24), 4)
 
 
-@query("tvp_smooth")
+_SM = f"{_SEG}, {_OBS}, {Q.kalman(len(X), Q_STATE, H_OBS, key='panel_id')}, {Q.smoother(len(X), Q_STATE, H_OBS, key='panel_id')}"
+_FITTED = " + ".join(f"sb[{i}] * x[{i}]" for i in range(1, len(X) + 1))
+
+
+@query(
+    "tvp_smooth",
+    f"{_SM}, d AS ("
+    + " UNION ALL ".join(f"SELECT panel_id, date, y, {_FITTED} AS fitted, '{x}' AS term, sb[{i}] AS beta, sqrt(greatest(sv[{i}], 0)) AS se FROM sm" for i, x in enumerate(X, 1))
+    + f") SELECT panel_id, date, {Q.rnds('y fitted', 4)}, term, {Q.rnds('beta se', 4)}, {Q.rnd('beta - 1.96 * se', 'lo', 4)}, {Q.rnd('beta + 1.96 * se', 'hi', 4)} FROM d",
+)
 def tvp_smooth(spark, sf):
-    return tidy(K.tvp_smooth(segment_returns(spark, sf), "y", X, Q_STATE, H_OBS, KEY))
+    return tidy(K.tvp_smooth(segment_returns(spark, sf), "y", X, Q_STATE, H_OBS, KEY), 4)
 
 
-@query("tvp_mle")
+@query(
+    "tvp_mle",
+    f"{_SEG}, {_OBS}, {Q.likelihood_peak(len(X))} SELECT panel_id, n, {Q.rnd('loglik', k=3)}, {Q.rnd('ch', 'log10_obs', 2)}, {Q.rnd('cq', 'log10_state', 2)} FROM peak",
+)
 def tvp_mle(spark, sf):
-    return tidy(K.tvp_mle(segment_returns(spark, sf), "y", X, KEY))
+    """Variances of the highest likelihood, in powers of ten, found by the score; the twin closes in on it by grids."""
+    m = KS.tvp_mle(segment_returns(spark, sf), "y", X, KEY)
+    d = m.select("panel_id", "n", "loglik", F.log10("sigma2_obs").alias("log10_obs"), F.log10("sigma2_state").alias("log10_state"))
+    return tidy(d.withColumn("loglik", F.round("loglik", 3)).withColumns({c: F.round(c, 2) for c in ("log10_obs", "log10_state")}))
 
 
-@query("beta_delta")
+@query(
+    "beta_delta",
+    f"{_SM}, {Q.ols()}, lt AS (SELECT * FROM sm QUALIFY row_number() OVER (PARTITION BY panel_id ORDER BY date DESC) = 1), "
+    f"r2s AS (SELECT panel_id, 1 - sum((y - ({_FITTED})) * (y - ({_FITTED}))) / (var_pop(y) * count(*)) AS tvp_r2 FROM sm GROUP BY 1), d AS ("
+    + " UNION ALL ".join(f"SELECT panel_id, '{x}' AS term, lt.sb[{i}] AS tvp_beta, fit.b[{i + 1}] AS ols_beta, tvp_r2, fit.r2 AS ols_r2 FROM lt JOIN fit USING (panel_id) JOIN r2s USING (panel_id)" for i, x in enumerate(X, 1))
+    + f") SELECT panel_id, term, {Q.rnds('tvp_beta ols_beta', 4)}, {Q.rnd('tvp_beta - ols_beta', 'delta', 4)}, {Q.rnds('tvp_r2 ols_r2', 4)}, {Q.rnd('(tvp_r2 - ols_r2) * 100', 'gain_pp', 4)} FROM d",
+)
 def beta_delta(spark, sf):
     r = segment_returns(spark, sf)
-    return tidy(G.model_compare(r, K.tvp_smooth(r, "y", X, Q_STATE, H_OBS, KEY), "y", X))
+    return tidy(G.model_compare(r, K.tvp_smooth(r, "y", X, Q_STATE, H_OBS, KEY), "y", X), 4)
 
 
 @query(

@@ -11,6 +11,7 @@ from seriesmill.operators import cleaning as C
 from seriesmill.operators import long_series as LS
 from seriesmill.operators import quotes as M
 from seriesmill.operators import tvp as K
+from seriesmill.operators import tvp_parallel as TP
 from seriesmill.plans import sql as Q
 from seriesmill.plans.registry import query, tidy
 from seriesmill.sources import tables as S
@@ -20,6 +21,8 @@ from seriesmill.streaming import online as O
 
 ASSETS = ["click", "error", "purchase", "signup", "view"]
 BANDS = [("click", 5.0, 120.0), ("error", 4.5, 110.0), ("purchase", 5.5, 100.0), ("signup", 6.0, 130.0), ("view", 5.0, 105.0)]
+#: Rows of a chunk of ticks; small, so that borders of chunks matter in every result.
+TICKS_PER_CHUNK = 2_000
 WORDS = ["tariff", "rate cut", "rate", "license"]
 
 _T = f"WITH RECURSIVE {Q.TICKS}"
@@ -392,6 +395,52 @@ def _daily(spark, sf) -> DataFrame:
     return O.daily_pairs(t, decimals=2)
 
 
+_TICKS_X = (
+    "obs AS (SELECT event_type AS series_id, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS t, event_id AS date, value AS y, "
+    "[CAST(props ->> '$.k' AS DOUBLE)] AS x FROM events WHERE value IS NOT NULL AND props ->> '$.k' IS NOT NULL)"
+)
+
+
+def _ticks_x(spark, sf) -> DataFrame:
+    return S.table(spark, sf, "events").select(
+        F.col("event_type").alias("asset"), "ts", "event_id", F.col("value").alias("price"),
+        F.get_json_object("props", "$.k").try_cast("double").alias("k"),
+    )
+
+
+@query(
+    "tick_tvp",
+    f"WITH RECURSIVE {_TICKS_X}, {Q.kalman(1, 0.0001, 900.0)} SELECT kf.series_id AS asset, date AS event_id, {Q.rnd('b[1]', 'beta', 5)}, {Q.rnd('innov', k=4)}, {Q.rnd('innov_var', k=3)} "
+    "FROM kf JOIN obs ON obs.series_id = kf.series_id AND obs.t = kf.t",
+)
+def tick_tvp(spark, sf):
+    """Beta and innovation at every tick of an asset, in parallel over time."""
+    f = TP.long_tvp_filter(_ticks_x(spark, sf), "price", ["k"], 0.0001, 900.0, ["asset"], ["ts", "event_id"], rows_per_chunk=TICKS_PER_CHUNK)
+    return tidy(f.select("asset", "event_id", F.round(F.col("beta")[0], 5).alias("beta"), F.round("innov", 4).alias("innov"), F.round("innov_var", 3).alias("innov_var")))
+
+
+@query(
+    "tick_tvp_smooth",
+    f"WITH RECURSIVE {_TICKS_X}, {Q.kalman(1, 0.0001, 900.0)}, {Q.smoother(1, 0.0001, 900.0)} SELECT series_id AS asset, date AS event_id, "
+    f"{Q.rnd('sb[1] * x[1]', 'fitted', 4)}, {Q.rnd('sb[1]', 'beta', 5)}, {Q.rnd('sqrt(sv[1])', 'se', 5)} FROM sm",
+)
+def tick_tvp_smooth(spark, sf):
+    """Smoothed beta at every tick of an asset, in parallel over time."""
+    f = TP.long_tvp_smooth(_ticks_x(spark, sf), "price", ["k"], 0.0001, 900.0, ["asset"], ["ts", "event_id"], rows_per_chunk=TICKS_PER_CHUNK)
+    return tidy(f.select("asset", "event_id", F.round("fitted", 4).alias("fitted"), F.round("beta", 5).alias("beta"), F.round("se", 5).alias("se")))
+
+
+@query(
+    "tick_tvp_loglik",
+    f"WITH RECURSIVE {_TICKS_X}, {Q.kalman(1, 0.0001, 900.0)} SELECT series_id AS asset, count(*) AS n, "
+    f"{Q.rnd('sum(-0.5 * (ln(2 * pi()) + ln(innov_var) + innov * innov / innov_var))', 'loglik', 3)} FROM kf WHERE t > 0 GROUP BY 1",
+)
+def tick_tvp_loglik(spark, sf):
+    """Likelihood of all ticks of an asset, from maps of its chunks alone."""
+    f = TP.long_tvp_loglik(_ticks_x(spark, sf), "price", ["k"], 0.0001, 900.0, ["asset"], ["ts", "event_id"], rows_per_chunk=TICKS_PER_CHUNK)
+    return tidy(f, 3)
+
+
 _VARIANCES = [(100.0, 0.001), (900.0, 0.001), (900.0, 0.1)]
 
 

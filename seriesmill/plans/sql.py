@@ -183,6 +183,68 @@ def kalman(k: int, q: float, h: float, src: str = "obs", key: str = "series_id")
     )
 
 
+def smoother(k: int, q: float, h: float, src: str = "obs", key: str = "series_id") -> str:
+    """``sm``: (key, t, date, y, x, sb, sv) with smoothed betas and their variances, from ``kf``.
+
+    Betas step back from the last ones by q times the smoothed disturbances r. Variances meet the filter from the other
+    end, each half of the rows in the form in which the wide prior of neither filter cancels.
+    """
+    idx = f"range(1, {k + 1})"
+
+    def each(expr: str) -> str:
+        return f"list_transform({idx}, lambda i: {expr})"
+
+    def total(expr: str, j: str = "j") -> str:
+        return f"list_sum(list_transform({idx}, lambda {j}: {expr}))"
+
+    reverse = kalman(k, q, h, "rev", key).replace("kf", "kr")
+    solve = eliminate(k, f"{key}, t", "sys_v", "solved_v").replace("elim", "elim_v")
+    both = each(f"list_concat(list_transform({idx}, lambda j: p[i][j] + w[i][j]), [0e0], list_transform({idx}, lambda j: CASE WHEN i = j THEN 1e0 ELSE 0e0 END))")
+    near = "CASE WHEN 2 * t <= n THEN w ELSE p END"
+    inner = total(total(f"nr[i][j] * m[j][{k + 1} + l] * nr[l][i]", "l"))
+    return (
+        f"ok AS (SELECT o.*, kf.b, kf.p, kf.innov AS v, kf.innov_var AS f, max(o.t) OVER (PARTITION BY o.{key}) AS n, {each(total('kf.p[i][j] * o.x[j]') + f' / CAST({h} AS DOUBLE)')} AS g "
+        f"FROM {src} o JOIN kf ON kf.{key} = o.{key} AND kf.t = o.t), "
+        f"bk AS (SELECT {key}, max(t) AS t, {each('0e0')} AS r FROM {src} GROUP BY 1 UNION ALL "
+        f"SELECT {key}, t - 1, {each('r[i] + x[i] * (v / f - gr)')} FROM (SELECT ok.{key}, ok.t, ok.x, ok.v, ok.f, bk.r, {total('ok.g[j] * bk.r[j]')} AS gr "
+        f"FROM bk JOIN ok ON ok.{key} = bk.{key} AND ok.t = bk.t WHERE bk.t > 1)), "
+        f"sl AS (SELECT {key}, t, first_value(b[i]) OVER z - CAST({q} AS DOUBLE) * sum(r[i]) OVER z AS beta, i FROM ("
+        f"SELECT ok.{key}, ok.t, ok.b, bk.r, unnest({idx}) AS i FROM ok JOIN bk ON bk.{key} = ok.{key} AND bk.t = ok.t) "
+        f"WINDOW z AS (PARTITION BY {key}, i ORDER BY t DESC ROWS UNBOUNDED PRECEDING)), "
+        f"rev AS (SELECT {key}, n + 1 - t AS t, date, y, x FROM ok), {reverse}, "
+        f"ends AS (SELECT ok.{key}, ok.t, ok.n, ok.p, {each(f'list_transform({idx}, lambda j: kr.p[i][j] + CASE WHEN i = j THEN CAST({q} AS DOUBLE) ELSE 0e0 END)')} AS w "
+        f"FROM ok JOIN kr ON kr.{key} = ok.{key} AND kr.t = ok.n - ok.t), "
+        f"sys_v AS (SELECT {key}, t, {both} AS m FROM ends), {solve}, "
+        f"sv AS (SELECT {key}, t, {each('nr[i][i] - ' + inner)} AS sv FROM (SELECT e.{key}, e.t, m, {near} AS nr FROM (SELECT {key}, t, n, p, w FROM ends) e JOIN solved_v USING ({key}, t))), "
+        f"sb AS (SELECT {key}, t, list(beta ORDER BY i) AS sb FROM sl GROUP BY 1, 2), "
+        f"sm AS (SELECT ok.{key}, ok.t, ok.date, ok.y, ok.x, sb.sb, sv.sv FROM ok JOIN sb ON sb.{key} = ok.{key} AND sb.t = ok.t JOIN sv ON sv.{key} = ok.{key} AND sv.t = ok.t)"
+    )
+
+
+def likelihood_peak(k: int, rounds: int = 20, src: str = "obs", key: str = "panel_id") -> str:
+    """``peak``: (key, n, h, q, loglik), the highest likelihood by grids around the best point so far, each half as wide."""
+    idx, points = f"range(1, {k + 1})", "(SELECT unnest(range(-4, 5)) AS i)"
+    eye = f"list_transform({idx}, lambda i: list_transform({idx}, lambda j: CASE WHEN i = j THEN 1e6 ELSE 0e0 END))"
+    xx = f"list_sum(list_transform(x, lambda e: e * e)) / {k}"
+    out = (
+        f"g0 AS MATERIALIZED (SELECT {key}, count(*) AS n, log10(var_pop(y)) - 1 AS ch, log10(var_pop(y) / avg({xx})) - 4 AS cq, 0e0 AS ll FROM {src} GROUP BY 1)"
+    )
+    for r in range(rounds):
+        shrink = 0.5**r
+        out += (
+            f", k{r} AS (SELECT {key}, n, ch + a.i * {2.0 / 4 * shrink!r}::DOUBLE AS ch, cq + c.i * {5.0 / 4 * shrink!r}::DOUBLE AS cq, CAST(0 AS BIGINT) AS t, "
+            f"list_transform({idx}, lambda i: 0e0) AS b, {eye} AS p, 0e0 AS ll FROM g{r}, {points} a, {points} c UNION ALL "
+            f"SELECT {key}, n, ch, cq, t, list_transform({idx}, lambda i: b[i] + px[i] * v / f), "
+            f"list_transform({idx}, lambda i: list_transform({idx}, lambda j: p[i][j] - px[i] * px[j] / f)), ll - 0.5 * (ln(2 * pi() * f) + v * v / f) FROM ("
+            f"SELECT *, y - list_sum(list_transform({idx}, lambda i: b[i] * x[i])) AS v, list_sum(list_transform({idx}, lambda i: px[i] * x[i])) + pow(10, ch) AS f FROM ("
+            f"SELECT *, list_transform({idx}, lambda i: list_sum(list_transform({idx}, lambda j: p[i][j] * x[j]))) AS px FROM ("
+            f"SELECT o.{key}, n, ch, cq, o.t, o.y, o.x, ll, b, list_transform({idx}, lambda i: list_transform({idx}, lambda j: "
+            f"p[i][j] + CASE WHEN i = j AND s.t > 0 THEN pow(10, cq) ELSE 0e0 END)) AS p FROM k{r} s JOIN {src} o ON o.{key} = s.{key} AND o.t = s.t + 1)))), "
+            f"g{r + 1} AS MATERIALIZED (SELECT {key}, any_value(n) AS n, arg_max(ch, ll) AS ch, arg_max(cq, ll) AS cq, max(ll) AS ll FROM k{r} WHERE t = n GROUP BY 1)"
+        )
+    return out + f", peak AS (SELECT {key}, n, ch, cq, ll AS loglik FROM g{rounds})"
+
+
 def jacobi(k: int, sweeps: int = 10, src: str = "cm", key: str = "panel_id") -> str:
     """Eigenvalues and vectors of the symmetric matrix ``a`` by cyclic rotations, one per recursion step."""
     order = [(i, j) for i in range(1, k + 1) for j in range(i + 1, k + 1)]

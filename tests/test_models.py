@@ -14,6 +14,7 @@ from seriesmill.operators import regression as R
 from seriesmill.operators import signals as G
 from seriesmill.operators import sparse as L
 from seriesmill.operators import tvp as K
+from seriesmill.operators import tvp_score as KS
 
 XS = ["x1", "x2", "x3", "x4", "x5"]
 COLS = ["y", *XS]
@@ -300,7 +301,7 @@ def test_likelihood(wdf, walk):
     f = K.tvp_filter(wdf.filter("series_id = 'w'"), "y", ["x1", "x2"], 0.01, 0.25).toPandas()
     ll = -0.5 * (np.log(2 * np.pi) + np.log(f.innov_var) + f.innov**2 / f.innov_var).sum()
     assert K.loglik(y, x, np.array([0.25]), np.array([0.01]))[0] == pytest.approx(ll)
-    m = K.tvp_mle(wdf, "y", ["x1", "x2"]).toPandas().set_index("series_id").loc["w"]
+    m = KS.tvp_mle(wdf, "y", ["x1", "x2"]).toPandas().set_index("series_id").loc["w"]
     assert m.loglik >= ll
     for dh in (0.97, 1.0, 1.03):
         for dq in (0.9, 1.0, 1.1):
