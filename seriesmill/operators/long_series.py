@@ -73,21 +73,6 @@ def long_pct_change(df: DataFrame, value: str, keys, order, rows_per_chunk: int
     return d.withColumn("pct", F.try_divide((F.col(value) - F.col("_prev")) * 100, F.col("_prev"))).drop("_prev")
 
 
-def long_rolling(df: DataFrame, n: int, value: str, keys, order, rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
-    """Rolling mean, standard deviation and z-score over ``n`` rows, null while warming up."""
-    c = chunked(df, keys, order, halo=n - 1, rows_per_chunk=rows_per_chunk)
-    w = _by_chunk(keys).rowsBetween(-(n - 1), 0)
-    full = F.count(value).over(w) == n
-    c = c.withColumns(
-        {
-            "roll_mean": F.when(full, F.avg(value).over(w)),
-            "roll_std": F.when(full, F.stddev_samp(value).over(w)),
-        }
-    )
-    z = F.try_divide(F.col(value) - F.col("roll_mean"), F.col("roll_std"))
-    return c.filter("_own").withColumn("z", z).drop(*_INTERNAL)
-
-
 def long_running(df: DataFrame, value: str, keys, order, rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
     """Running sum (null as 0), running maximum and drawdown along each key."""
     c = chunked(df, keys, order, rows_per_chunk=rows_per_chunk)

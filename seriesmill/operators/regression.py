@@ -2,8 +2,8 @@
 
 A panel of any length is reduced to its means and k x k centred cross products by
 one mergeable aggregate; only that fixed-size summary reaches the solver, where
-whole Arrow batches of panels are solved at once. Rolling fits use the same
-summary over a window frame.
+whole Arrow batches of panels are solved at once. Moving fits (``moving``) use the
+same summary of each window.
 """
 
 from __future__ import annotations
@@ -202,36 +202,3 @@ def standardise(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = KEYS)
         s = F.when(F.col(f"_s_{c}") == 0, F.lit(1.0)).otherwise(F.col(f"_s_{c}"))
         z[c] = (F.col(c) - F.col(f"_m_{c}")) / s
     return j.withColumns(z).drop(*[f"_{k}_{c}" for c in cols for k in "ms"])
-
-
-def rolling_ols(
-    df: DataFrame, n: int, y: str, xs: Sequence[str], keys: Sequence[str] = KEYS, order: str = "date"
-) -> DataFrame:
-    """Multi-factor betas and R2 over the ``n`` rows before each row, and its out-of-sample residual.
-
-    The frame excludes the current row, so the residual is a real forecast error.
-    Input rows should be complete; rows before a full frame get nulls.
-    """
-    cols = [y, *xs]
-    w = Window.partitionBy(*keys).orderBy(order).rowsBetween(-n, -1)
-    cnt = F.count(F.when(complete(cols), 1)).over(w)
-    framed = df.withColumn("_n", cnt)
-    framed = framed.withColumns(
-        {f"m_{c}": F.avg(c).over(w) for c in cols} | {f"s_{a}_{b}": F.covar_pop(a, b).over(w) * n for a, b in pairs(cols)}
-    )
-    means, upper = packed(cols)
-    full = F.col("_n") == n
-    fit = solve_betas(F.lit(n), F.when(full, means), F.when(full, upper))
-    s = framed.withColumn("_fit", fit)
-    b = F.col("_fit.coef")
-    pred = b[0]
-    for i, x in enumerate(xs, 1):
-        pred = pred + b[i] * F.col(x)
-    return s.select(
-        *keys,
-        order,
-        b[0].alias("intercept"),
-        *[b[i].alias(f"beta_{x}") for i, x in enumerate(xs, 1)],
-        F.col("_fit.r2").alias("r2"),
-        (F.col(y) - pred).alias("oos_resid"),
-    )

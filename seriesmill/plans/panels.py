@@ -12,6 +12,7 @@ from seriesmill.operators import pca as P
 from seriesmill.operators import regression as R
 from seriesmill.operators import signals as G
 from seriesmill.operators import sparse as L
+from seriesmill.operators import moving as MV
 from seriesmill.operators import tvp as K
 from seriesmill.operators import tvp_score as KS
 from seriesmill.operators.cleaning import drop_incomplete, is_selected, select_factors
@@ -257,12 +258,12 @@ def _rolling_ols_sql(ctes: str, n: int) -> str:
 
 @query("rolling_ols", _rolling_ols_sql(_WEEK, 52))
 def rolling_ols(spark, sf):
-    return tidy(R.rolling_ols(weekly_returns(spark, sf), 52, "y", X), 5)
+    return tidy(MV.moving_ols(weekly_returns(spark, sf), 52, "y", X), 5)
 
 
 @query("rolling_ols_by_segment", _rolling_ols_sql(_SEG, 24))
 def rolling_ols_by_segment(spark, sf):
-    return tidy(R.rolling_ols(segment_returns(spark, sf), 24, "y", X), 5)
+    return tidy(MV.moving_ols(segment_returns(spark, sf), 24, "y", X), 5)
 
 
 @query("rich_cheap", f"{_WEEK}, {Q.ols()}, {Q.resid()}, {Q.zscores('res', 52, 104)} {Q.signal()}")

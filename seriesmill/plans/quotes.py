@@ -9,6 +9,7 @@ from seriesmill.functions import scalars as X
 from seriesmill.functions import windows as W
 from seriesmill.operators import cleaning as C
 from seriesmill.operators import long_series as LS
+from seriesmill.operators import moving as MV
 from seriesmill.operators import quotes as M
 from seriesmill.operators import tvp as K
 from seriesmill.operators import tvp_parallel as TP
@@ -25,6 +26,19 @@ BANDS = [("click", 5.0, 120.0), ("error", 4.5, 110.0), ("purchase", 5.5, 100.0),
 TICKS_PER_CHUNK = 2_000
 WORDS = ["tariff", "rate cut", "rate", "license"]
 
+TICKS_X = (
+    "obs AS (SELECT event_type AS series_id, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS t, event_id AS date, value AS y, "
+    "[CAST(props ->> '$.k' AS DOUBLE)] AS x FROM events WHERE value IS NOT NULL AND props ->> '$.k' IS NOT NULL)"
+)
+
+
+def _ticks_x(spark, sf) -> DataFrame:
+    return S.table(spark, sf, "events").select(
+        F.col("event_type").alias("asset"), "ts", "event_id", F.col("value").alias("price"),
+        F.get_json_object("props", "$.k").try_cast("double").alias("k"),
+    )
+
+
 _T = f"WITH RECURSIVE {Q.TICKS}"
 _RULES = "rules AS (SELECT * FROM (VALUES " + ", ".join(f"('{a}', {lo}::DOUBLE, {hi}::DOUBLE)" for a, lo, hi in BANDS) + ") r(asset, lower, upper))"
 _ZONE = "CASE WHEN price > upper THEN 'above' WHEN price < lower THEN 'below' ELSE 'in' END"
@@ -72,10 +86,34 @@ def tick_pct_change(spark, sf):
     f"{Q.rnd('CASE WHEN c = 52 THEN (price - m) / s END', 'z')} FROM r",
 )
 def tick_rolling(spark, sf):
-    d = LS.long_rolling(S.ticks(spark, sf), 52, "price", ["asset"], ["ts", "event_id"])
+    d = MV.moving_stats(S.ticks(spark, sf), 52, "price", ["asset"], ["ts", "event_id"], rows_per_chunk=LS.ROWS_PER_CHUNK)
     return tidy(d.select("asset", "event_id", "roll_mean", "roll_std", "z"))
 
 
+_TM = "count(*) OVER f AS c, corr(y, x[1]) OVER f AS r, regr_slope(y, x[1]) OVER g AS b, regr_intercept(y, x[1]) OVER g AS a, regr_r2(y, x[1]) OVER g AS r2, count(*) OVER g AS cg"
+
+
+@query(
+    "tick_corr",
+    f"WITH {TICKS_X}, r AS (SELECT *, {_TM} FROM obs WINDOW f AS (PARTITION BY series_id ORDER BY t ROWS 499 PRECEDING), g AS (PARTITION BY series_id ORDER BY t ROWS BETWEEN 500 PRECEDING AND 1 PRECEDING)) "
+    f"SELECT series_id AS asset, date AS event_id, {Q.rnd('CASE WHEN c = 500 THEN r END', 'corr_k')} FROM r",
+)
+def tick_corr(spark, sf):
+    """Correlation over the last 500 ticks of an asset; the cost of a row does not depend on that number."""
+    return tidy(MV.moving_corr(_ticks_x(spark, sf), 500, "price", ["k"], ["asset"], ["ts", "event_id"], LS.ROWS_PER_CHUNK).drop("ts"))
+
+
+@query(
+    "tick_ols",
+    f"WITH {TICKS_X}, r AS (SELECT *, {_TM} FROM obs WINDOW f AS (PARTITION BY series_id ORDER BY t ROWS 499 PRECEDING), g AS (PARTITION BY series_id ORDER BY t ROWS BETWEEN 500 PRECEDING AND 1 PRECEDING)) "
+    f"SELECT series_id AS asset, date AS event_id, {Q.rnd('CASE WHEN cg = 500 THEN a END', 'intercept', 5)}, {Q.rnd('CASE WHEN cg = 500 THEN b END', 'beta_k', 5)}, "
+    f"{Q.rnd('CASE WHEN cg = 500 THEN r2 END', 'r2', 5)}, {Q.rnd('CASE WHEN cg = 500 THEN y - a - b * x[1] END', 'oos_resid', 5)} FROM r",
+)
+def tick_ols(spark, sf):
+    """Regression on the 500 ticks before each tick of an asset, and its forecast error."""
+    return tidy(MV.moving_ols(_ticks_x(spark, sf), 500, "price", ["k"], ["asset"], ["ts", "event_id"], LS.ROWS_PER_CHUNK).drop("ts"), 5)
+
+
 @query(
     "tick_running",
     f"{_T}, r AS (SELECT asset, event_id, cents, sum(cents) OVER w AS cum, max(cents) OVER w AS running_max FROM "
@@ -395,22 +433,9 @@ def _daily(spark, sf) -> DataFrame:
     return O.daily_pairs(t, decimals=2)
 
 
-_TICKS_X = (
-    "obs AS (SELECT event_type AS series_id, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS t, event_id AS date, value AS y, "
-    "[CAST(props ->> '$.k' AS DOUBLE)] AS x FROM events WHERE value IS NOT NULL AND props ->> '$.k' IS NOT NULL)"
-)
-
-
-def _ticks_x(spark, sf) -> DataFrame:
-    return S.table(spark, sf, "events").select(
-        F.col("event_type").alias("asset"), "ts", "event_id", F.col("value").alias("price"),
-        F.get_json_object("props", "$.k").try_cast("double").alias("k"),
-    )
-
-
 @query(
     "tick_tvp",
-    f"WITH RECURSIVE {_TICKS_X}, {Q.kalman(1, 0.0001, 900.0)} SELECT kf.series_id AS asset, date AS event_id, {Q.rnd('b[1]', 'beta', 5)}, {Q.rnd('innov', k=4)}, {Q.rnd('innov_var', k=3)} "
+    f"WITH RECURSIVE {TICKS_X}, {Q.kalman(1, 0.0001, 900.0)} SELECT kf.series_id AS asset, date AS event_id, {Q.rnd('b[1]', 'beta', 5)}, {Q.rnd('innov', k=4)}, {Q.rnd('innov_var', k=3)} "
     "FROM kf JOIN obs ON obs.series_id = kf.series_id AND obs.t = kf.t",
 )
 def tick_tvp(spark, sf):
@@ -421,7 +446,7 @@ def tick_tvp(spark, sf):
 
 @query(
     "tick_tvp_smooth",
-    f"WITH RECURSIVE {_TICKS_X}, {Q.kalman(1, 0.0001, 900.0)}, {Q.smoother(1, 0.0001, 900.0)} SELECT series_id AS asset, date AS event_id, "
+    f"WITH RECURSIVE {TICKS_X}, {Q.kalman(1, 0.0001, 900.0)}, {Q.smoother(1, 0.0001, 900.0)} SELECT series_id AS asset, date AS event_id, "
     f"{Q.rnd('sb[1] * x[1]', 'fitted', 4)}, {Q.rnd('sb[1]', 'beta', 5)}, {Q.rnd('sqrt(sv[1])', 'se', 5)} FROM sm",
 )
 def tick_tvp_smooth(spark, sf):
@@ -432,7 +457,7 @@ def tick_tvp_smooth(spark, sf):
 
 @query(
     "tick_tvp_loglik",
-    f"WITH RECURSIVE {_TICKS_X}, {Q.kalman(1, 0.0001, 900.0)} SELECT series_id AS asset, count(*) AS n, "
+    f"WITH RECURSIVE {TICKS_X}, {Q.kalman(1, 0.0001, 900.0)} SELECT series_id AS asset, count(*) AS n, "
     f"{Q.rnd('sum(-0.5 * (ln(2 * pi()) + ln(innov_var) + innov * innov / innov_var))', 'loglik', 3)} FROM kf WHERE t > 0 GROUP BY 1",
 )
 def tick_tvp_loglik(spark, sf):

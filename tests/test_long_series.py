@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 
 from seriesmill.operators import long_series as L
+from seriesmill.operators import moving as M
 
 KEYS, ORDER = ["asset"], ["ts", "event_id"]
 
@@ -41,7 +42,7 @@ def test_previous_and_rolling(df, ticks, size):
     pct = _by_id(L.long_pct_change(df, "price", KEYS, ORDER, size))
     assert len(pct) == len(ticks)
     np.testing.assert_allclose(pct["pct"].astype(float), want["pct"], rtol=1e-9)
-    roll = _by_id(L.long_rolling(df, 20, "price", KEYS, ORDER, size))
+    roll = _by_id(M.moving_stats(df, 20, "price", KEYS, ORDER, rows_per_chunk=size))
     np.testing.assert_allclose(roll["roll_mean"].astype(float), want["roll_mean"], rtol=1e-9)
     np.testing.assert_allclose(roll["roll_std"].astype(float), want["roll_std"], rtol=1e-7)
 

@@ -13,6 +13,7 @@ from seriesmill.operators import pca as P
 from seriesmill.operators import regression as R
 from seriesmill.operators import signals as G
 from seriesmill.operators import sparse as L
+from seriesmill.operators import moving as MV
 from seriesmill.operators import tvp as K
 from seriesmill.operators import tvp_score as KS
 
@@ -101,7 +102,7 @@ def test_ols_agrees_with_ml(df):
 
 def test_rolling_ols_is_a_direct_fit(df, panels):
     clean = df.filter(R.complete(COLS))
-    out = R.rolling_ols(clean, 52, "y", XS).toPandas().set_index(["panel_id", "date"])
+    out = MV.moving_ols(clean, 52, "y", XS).toPandas().set_index(["panel_id", "date"])
     y, x = design(panels["p1"])
     dates = sorted(panels["p1"]["date"])
     assert out.loc["p1"]["r2"].notna().sum() == len(y) - 52
