@@ -52,33 +52,11 @@ def latest_pair(df: DataFrame, a: Column, b: Column, keys: Sequence[str], value:
     return g.withColumns({"spread": F.col("a") - F.col("b"), "ratio": F.try_divide(F.col("a"), F.col("b"))})
 
 
-def as_of_rates(dates: DataFrame, fx: DataFrame, key: str, date: str = "date", rate: str = "rate") -> DataFrame:
-    """Rate in force on each (key, date): the latest quote on or before it, null before the first.
-
-    Only the distinct (key, date) pairs enter the window, so its size follows the
-    calendar and not the number of rows that need a rate.
-    """
-    want = dates.select(key, date).distinct().withColumns({rate: F.lit(None).cast("double"), "_want": F.lit(True)})
-    have = fx.select(key, date, rate).withColumn("_want", F.lit(False))
-    w = Window.partitionBy(key).orderBy(F.col(date), F.col("_want")).rowsBetween(Window.unboundedPreceding, 0)
-    return (
-        have.unionByName(want)
-        .withColumn(rate, F.last(rate, ignorenulls=True).over(w))
-        .filter("_want")
-        .drop("_want")
-    )
-
-
-def convert(df: DataFrame, fx: DataFrame, divisor: float, key: str, value: str = "value", date: str = "date") -> DataFrame:
-    """value x rate / divisor with the rate in force on the date."""
-    rates = as_of_rates(df, fx, key, date)
-    return df.join(rates, [key, date], "left").withColumn("converted", F.col(value) * F.col("rate") / divisor)
-
-
 def convert_stacked(rows: DataFrame, divisor: float, key: str, value: str = "value", date: str = "date", rate: str = "rate") -> DataFrame:
-    """The same for values and rates that come as rows of one table, each with the other column null: no join at all.
+    """value x rate / divisor with the rate in force on the date, for values and rates that come as rows of one table, each
+    with the other column null: no join at all.
 
-    For values at calendar grain, as every row of a key enters one window.
+    For values at calendar grain, as every row of a key enters one window; ``as_of.as_of_join`` is for any other.
     """
     w = Window.partitionBy(key).orderBy(F.col(date), F.col(rate).isNull()).rowsBetween(Window.unboundedPreceding, 0)
     known = rows.withColumn(rate, F.last(rate, ignorenulls=True).over(w)).filter(F.col(value).isNotNull())

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from seriesmill.functions import scalars as X
 from seriesmill.functions import windows as W
+from seriesmill.operators import as_of as AO
 from seriesmill.operators import cleaning as C
 from seriesmill.operators import long_series as LS
 from seriesmill.operators import moving as MV
@@ -433,6 +434,33 @@ def _daily(spark, sf) -> DataFrame:
     return O.daily_pairs(t, decimals=2)
 
 
+_QUOTED = "SELECT user_id, ts, max(value) AS rate FROM events WHERE event_type = 'signup' AND value IS NOT NULL GROUP BY 1, 2"
+
+
+@query(
+    "tick_rate",
+    f"SELECT t.event_id, t.user_id, t.value AS price, q.rate, q.ts AS rate_ts, {Q.rnd('t.value * q.rate / 100', 'converted')} FROM "
+    f"(SELECT * FROM events WHERE event_type <> 'signup') t ASOF LEFT JOIN ({_QUOTED}) q ON t.user_id = q.user_id AND t.ts >= q.ts",
+)
+def tick_rate(spark, sf):
+    """Every other tick of a user with the user's rate in force, taken from the sign-ups: no window holds a user."""
+    e = S.table(spark, sf, "events").select("event_id", "event_type", "user_id", "ts", F.col("value").alias("price"))
+    rates = e.where("event_type = 'signup'").select("user_id", "ts", F.col("price").alias("rate"))
+    d = AO.as_of_join(e.where("event_type <> 'signup'"), rates, ["user_id"], "ts", ["rate"], "rate_ts", rows_per_chunk=TICKS_PER_CHUNK)
+    return tidy(d.select("event_id", "user_id", "price", "rate", "rate_ts", (F.col("price") * F.col("rate") / 100).alias("converted")))
+
+
+@query(
+    "tick_as_large",
+    f"{_T} SELECT t.asset, t.event_id, t.price, (SELECT max(s.ts) FROM ticks s WHERE s.asset = t.asset AND (s.ts, s.event_id) < (t.ts, t.event_id) AND s.price >= t.price) AS since "
+    "FROM ticks t WHERE t.price IS NOT NULL",
+)
+def tick_as_large(spark, sf):
+    """For every tick the last earlier one of its asset at a price as high."""
+    d = AO.last_as_large(S.ticks(spark, sf), "price", ["asset"], ["ts", "event_id"], rows_per_chunk=TICKS_PER_CHUNK)
+    return d.select("asset", "event_id", "price", "since")
+
+
 @query(
     "tick_tvp",
     f"WITH RECURSIVE {TICKS_X}, {Q.kalman(1, 0.0001, 900.0)} SELECT kf.series_id AS asset, date AS event_id, {Q.rnd('b[1]', 'beta', 5)}, {Q.rnd('innov', k=4)}, {Q.rnd('innov_var', k=3)} "
