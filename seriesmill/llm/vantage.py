@@ -9,6 +9,7 @@ dimensions distances differ little, so only values well above 1 prune at all; me
 Defined cases: vectors that are null, empty, zero or hold null or non-finite components take no part, nor
 do rows without an id; only vectors of the same length are compared; fewer candidates than ``k``: all of
 them; ties go to the smaller id; repeated ids are separate candidates, but never of a query with that id;
+a query row that is there several times is asked once; queries of one id with different vectors have ranks of their own;
 no query or no candidate: no row; other columns are not carried.
 """
 
@@ -157,11 +158,13 @@ def search(index: DataFrame, queries: DataFrame, k: int = 10, relax: float = 1.0
 
     Queries are put into blocks of bounded size; each block goes to each shard and brings back ``k`` rows per query.
     """
+    # A query that is there twice is asked once; queries of one id with different vectors are told apart by their vectors.
+    queries = queries.dropDuplicates(["vec_id", "vec"]).withColumn("q", F.xxhash64("vec"))
     blocks = max(1, -(-queries.count() // query_rows))
 
     def gather(key, pdf: pd.DataFrame) -> pd.DataFrame:
         held = io.BytesIO()
-        np.savez(held, ids=pdf["vec_id"].to_numpy("i8"), points=np.array(pdf["vec"].tolist(), float))
+        np.savez(held, ids=pdf["vec_id"].to_numpy("i8"), points=np.array(pdf["vec"].tolist(), float), q=pdf["q"].to_numpy("i8"))
         return pd.DataFrame({"dim": [key[1]], "block": [key[0]], "queries": [held.getvalue()]})
 
     grouped = (
@@ -178,13 +181,13 @@ def search(index: DataFrame, queries: DataFrame, k: int = 10, relax: float = 1.0
         for pdf in frames:
             for tree, block in zip(pdf["tree"], pdf["queries"]):
                 with np.load(io.BytesIO(block)) as held:
-                    ids, points = held["ids"], held["points"]
+                    ids, points, q = held["ids"], held["points"], held["q"]
                 found, d = Tree.load(tree).search(ids, points, k, relax)
                 keep = np.isfinite(d)
-                yield pd.DataFrame({"query_id": np.repeat(ids, keep.sum(1)), "vec_id": found[keep], "score": d[keep]})
+                yield pd.DataFrame({"query_id": np.repeat(ids, keep.sum(1)), "q": np.repeat(q, keep.sum(1)), "vec_id": found[keep], "score": d[keep]})
 
-    hits = work.mapInPandas(run, "query_id bigint, vec_id bigint, score double")
-    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
+    hits = work.mapInPandas(run, "query_id bigint, q bigint, vec_id bigint, score double")
+    order = Window.partitionBy("query_id", "q").orderBy("score", "vec_id")
     return hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 

@@ -308,3 +308,18 @@ def test_pipeline_stages_equal_plain_versions(spark):
 def test_ambiguous_flags():
     model = language_id.fit_counts(["a", "b"], [np.bincount(language_id.gram_buckets("aaa bbb"), minlength=language_id.BUCKETS)] * 2)
     assert model.predict("aaa")[3]
+
+
+def test_repeated_queries_are_asked_once(spark):
+    """A query row that occurs twice has ten different neighbours, one id with two vectors has them for each."""
+    rng = np.random.default_rng(12)
+    points = rng.normal(0, 1, (50, 6))
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(points)]
+    other = (0, [float(x) for x in rng.normal(0, 1, 6)])
+    table = spark.createDataFrame(rows + [rows[0], other], "vec_id bigint, embedding array<double>").repartition(3)
+    got = vantage.nearest(table, table.where("vec_id in (0, 7)"), 10).collect()
+    want = []
+    for i, v in (rows[0], other, rows[7]):
+        held = [(float(np.sqrt(((np.array(v) - np.array(w)) ** 2).sum())), j) for j, w in [*rows, rows[0], other] if j != i]
+        want += [(i, k + 1, j) for k, (_, j) in enumerate(sorted(held)[:10])]
+    assert sorted((r.query_id, r["rank"], r.vec_id) for r in got) == sorted(want)
