@@ -12,9 +12,11 @@ from seriesmill.plans.registry import query, tidy
 from seriesmill.session import fresh_path
 from seriesmill.sources import dimensions as D
 from seriesmill.sources import documents as J
+from seriesmill.sources import landed as LF
 from seriesmill.sources import publish as P
 from seriesmill.sources import tables as S
 from seriesmill.sources.dimensions import display_order
+from seriesmill.streaming import engine as E
 
 _S = f"WITH {Q.SERIES}"
 _FLAGS = ["A", "R", "N"]
@@ -209,3 +211,36 @@ def event_labels(spark, sf):
 @query("point_lookup", f"WITH {Q.SECTORS} SELECT entity, metric, date, value FROM sectors WHERE entity = 'BUILDING' AND metric = '3-MEDIUM'")
 def point_lookup(spark, sf):
     return C.get_series(S.sector_series(spark, sf), "BUILDING", "3-MEDIUM").select("entity", "metric", "date", "value")
+
+
+_FOLDER = (
+    f"{_S} SELECT series_id, CASE WHEN month(date) <> 12 THEN date END AS date, value, CASE WHEN month(date) = 12 THEN 'no date: ' || strftime(date, '%Y/%m') END AS reason "
+    "FROM series WHERE series_id % 7 <> 0 AND value IS NOT NULL UNION ALL SELECT DISTINCT series_id, CAST(NULL AS DATE), CAST(NULL AS DOUBLE), 'malformed document' FROM series WHERE series_id % 7 = 0"
+)
+
+
+def _folder(spark, sf) -> str:
+    """A folder with a document per supplier below a folder of its own: every seventh breaks off, Decembers have no readable date."""
+    said = F.when(F.month("date") == 12, F.date_format("date", "yyyy/MM")).otherwise(F.col("date").cast("string"))
+    points = F.transform(F.array_sort(F.collect_list(F.struct("date", "value", said.alias("said")))), lambda p: F.struct(p["said"].alias("date"), p["value"].alias("value")))
+    docs = S.supplier_series(spark, sf).where("value IS NOT NULL").groupBy("series_id").agg(F.to_json(points).alias("body"))
+    path = fresh_path(spark, "landed-folder")
+    broken = F.when(F.col("series_id") % 7 == 0, F.substring("body", 1, 20)).otherwise(F.col("body"))
+    docs.select("series_id", broken.alias("value")).repartition("series_id").write.partitionBy("series_id").text(path)
+    return path
+
+
+def _of_supplier(rows: DataFrame) -> DataFrame:
+    return rows.select(F.regexp_extract("file", "series_id=([0-9]+)/", 1).cast("bigint").alias("series_id"), "date", "value", "reason")
+
+
+@query("landed_folder", _FOLDER)
+def landed_folder(spark, sf):
+    """All records of a folder of documents, and why the others could not be read."""
+    return _of_supplier(LF.read_landed(spark, [_folder(spark, sf)], "points"))
+
+
+@query("stream_landed_folder", _FOLDER)
+def stream_landed_folder(spark, sf):
+    """The same folder as a stream."""
+    return _of_supplier(E.run_to_table(LF.stream_landed(spark, _folder(spark, sf), "points"), "landed-rows"))
