@@ -11,6 +11,7 @@ from seriesmill.operators import as_of as AO
 from seriesmill.operators import cleaning as C
 from seriesmill.operators import long_series as LS
 from seriesmill.operators import moving as MV
+from seriesmill.operators import phrases as PH
 from seriesmill.operators import quotes as M
 from seriesmill.operators import tvp as K
 from seriesmill.operators import tvp_parallel as TP
@@ -137,6 +138,35 @@ def keyword_alerts(spark, sf):
     return C.keyword_alerts(S.table(spark, sf, "documents").select("doc_id", "text"), WORDS).drop("text")
 
 
+@query("clean_values", "SELECT event_id, TRY_CAST(props ->> '$.k' AS DOUBLE) AS value FROM events WHERE event_type <> 'view' AND TRY_CAST(props ->> '$.k' AS DOUBLE) IS NOT NULL")
+def clean_values(spark, sf):
+    """Numbers read from text; the texts of one kind of event are blanked out and are no values."""
+    text = F.when(F.col("event_type") == "view", F.lit("-")).otherwise(F.get_json_object("props", "$.k"))
+    return C.clean_values(S.table(spark, sf, "events").select("event_id", text.alias("value")))
+
+
+@query("phrase_alerts", _KEYWORDS)
+def phrase_alerts(spark, sf):
+    """The same rows by one pass of an automaton, whatever the number of phrases."""
+    return PH.phrase_alerts(S.table(spark, sf, "documents").select("doc_id", "text"), WORDS).drop("text")
+
+
+_FIRST_WORDS = "lower(array_to_string(string_split(text, ' ')[1:3], ' '))"
+
+
+@query(
+    "phrase_counts",
+    f"WITH p AS (SELECT DISTINCT {_FIRST_WORDS} AS phrase FROM benchmark WHERE text <> ''), d AS (SELECT doc_id, lower(text) AS low FROM documents) "
+    "SELECT phrase, count(*) AS docs, CAST(sum((length(low) - length(replace(low, phrase, ''))) / length(phrase)) AS BIGINT) AS places FROM d JOIN p ON contains(low, phrase) GROUP BY 1",
+)
+def phrase_counts(spark, sf):
+    """How often the first three words of each benchmark item stand in the documents, all items in one pass."""
+    first = F.lower(F.array_join(F.slice(F.split("text", " "), 1, 3), " "))
+    items = [r.p for r in S.table(spark, sf, "benchmark").where("text <> ''").select(first.alias("p")).distinct().collect()]
+    found = PH.phrase_places(S.table(spark, sf, "documents"), items, ["doc_id"]).groupBy("phrase", "doc_id").agg(F.count(F.lit(1)).alias("n"))
+    return found.groupBy("phrase").agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("places"))
+
+
 @query(
     "session_filter",
     "SELECT event_id, ts, day(ts) = 1 AS first_of_month FROM events WHERE isodow(ts) <= 5 AND hour(ts) BETWEEN 13 AND 20",
