@@ -175,3 +175,101 @@ def selection_summary(cv: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
         F.first("alpha").alias("alpha"), F.first("r2").alias("r2"),
         names(F.col("selected")).alias("selected"), names(~F.col("selected")).alias("dropped"),
     )
+
+
+# --- the exact path ------------------------------------------------------------------------------
+
+
+def homotopy(g: np.ndarray, c: np.ndarray) -> list[tuple[float, str, int, np.ndarray]]:
+    """(penalty, event, factor, coefficients) at every knot of the path, from no factor to no penalty.
+
+    Between knots the coefficients are linear in the penalty: w = u - a v on the active factors. The next knot is the
+    largest penalty below at which another factor's correlation with the residual reaches it (``enter``) or an active
+    coefficient becomes zero (``leave``). A factor that active ones explain completely never enters.
+    """
+    k, w = len(c), np.zeros(len(c))
+    usable = np.diag(g) > 0
+    held = np.where(usable, np.abs(c), 0.0)
+    alpha = float(held.max()) if k else 0.0
+    if alpha <= 0:
+        return [(0.0, "end", -1, w)]
+    first = int(np.argmax(held))
+    active, signs, knots, last = [first], [np.sign(c[first])], [(alpha, "enter", first, w.copy())], first
+    while True:
+        part = g[np.ix_(active, active)]
+        u, v = np.linalg.solve(part, c[active]), np.linalg.solve(part, np.array(signs))
+        a, b = c - g[:, active] @ u, g[:, active] @ v  # the residual's correlations are a + alpha b
+        best, event, who, sign = 0.0, "end", -1, 0.0
+        for j in np.flatnonzero(usable).tolist():
+            if j in active:
+                at = active.index(j)
+                zero = u[at] / v[at] if v[at] else 0.0
+                if j != last and best < zero < alpha * (1 - 1e-12):
+                    best, event, who = zero, "leave", j
+                continue
+            if j == last or g[j, j] - g[j, active] @ np.linalg.solve(part, g[active, j]) <= 1e-10 * g[j, j]:
+                continue
+            for s in (1.0, -1.0):
+                if 1.0 - s * b[j] > 1e-14 and best < (meets := s * a[j] / (1.0 - s * b[j])) <= alpha * (1 + 1e-10):
+                    best, event, who, sign = min(meets, alpha), "enter", j, s
+        w = np.zeros(k)
+        w[active] = u - best * v
+        if event == "leave":
+            w[who] = 0.0
+        knots.append((best, event, who, w))
+        if event == "end":
+            return knots
+        if event == "enter":
+            active, signs = [*active, who], [*signs, sign]
+        else:
+            at = active.index(who)
+            del active[at], signs[at]
+            if not active:
+                knots.append((0.0, "end", -1, np.zeros(k)))
+                return knots
+        alpha, last = best, who
+
+
+def _standard(n: float, upper: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Moments of standardised factors, and with the target, divided by the row count."""
+    s = full_matrix(upper, k)
+    scale = np.sqrt(np.diag(s) / n)
+    scale[0], scale[scale == 0] = 1.0, 1.0
+    s = s / n / scale[:, None] / scale
+    return s[1:, 1:], s[1:, 0]
+
+
+def lasso_knots(df: DataFrame, y: str, xs: Sequence[str], keys: Sequence[str] = KEYS) -> DataFrame:
+    """(keys, step, alpha, event, factor, term, coef_std): the whole path of each panel, knot by knot, from one summary per
+    panel. ``factor`` enters or leaves at the knot; the last one (``end``) is least squares."""
+    names, keys, k = list(xs), list(keys), len(xs) + 1
+
+    def run(frames):
+        for pdf in frames:
+            for row in pdf.itertuples(index=False):
+                at = dict(zip(pdf.columns, row))
+                knots = homotopy(*_standard(at["n"], np.array(at["upper"], float), k))
+                out = pd.DataFrame({
+                    "step": np.repeat(np.arange(len(knots)), len(names)), "alpha": np.repeat([q[0] for q in knots], len(names)),
+                    "event": np.repeat([q[1] for q in knots], len(names)), "factor": np.repeat(np.array([names[q[2]] if q[2] >= 0 else None for q in knots], object), len(names)),
+                    "term": names * len(knots), "coef_std": np.concatenate([q[3] for q in knots]),
+                })
+                for key in reversed(keys):
+                    out.insert(0, key, [at[key]] * len(out))
+                yield out
+
+    g = gram(df, [y, *xs], keys).where("n > 1").select(*keys, "n", packed([y, *xs])[1].alias("upper"))
+    return g.mapInPandas(run, f"{_key_type(df, keys)}, step bigint, alpha double, event string, factor string, term string, coef_std double")
+
+
+def at_penalties(knots: DataFrame, alphas: Sequence[float] | None = None, keys: Sequence[str] = KEYS) -> DataFrame:
+    """(keys, alpha, term, coef_std) at any penalties: exact, as the path is linear between its knots."""
+    grid = [float(a) for a in (alpha_grid() if alphas is None else alphas)]
+    per = knots.groupBy(*keys, "term").agg(F.array_sort(F.collect_list(F.struct("alpha", "coef_std"))).alias("path"))
+    asked = per.withColumn("a", F.explode(F.array(*[F.lit(a) for a in grid])))
+    above = F.get(F.filter("path", lambda p: p["alpha"] >= F.col("a")), F.lit(0))
+    below = F.try_element_at(F.filter("path", lambda p: p["alpha"] <= F.col("a")), F.lit(-1))
+    part = asked.select(*keys, "term", "a", above.alias("hi"), below.alias("lo"))
+    share = F.coalesce(F.try_divide(F.col("a") - F.col("lo.alpha"), F.col("hi.alpha") - F.col("lo.alpha")), F.lit(0.0))
+    inside = F.col("lo.coef_std") + share * (F.col("hi.coef_std") - F.col("lo.coef_std"))
+    return part.select(*keys, F.col("a").alias("alpha"), "term", F.when(F.col("hi").isNull(), F.lit(0.0)).otherwise(inside).alias("coef_std"))

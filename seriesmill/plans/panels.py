@@ -346,6 +346,16 @@ def lasso_path(spark, sf):
     return tidy(L.lasso_path(segment_returns(spark, sf), "y", X))
 
 
+@query(
+    "lasso_exact_path",
+    f"{_SEG}, {Q.lasso(5)}, fullp AS (SELECT panel_id, alpha, w FROM sol WHERE left_out = 0) "
+    + " UNION ALL ".join(f"SELECT panel_id, {Q.rnd('alpha')}, '{x}' AS term, {Q.rnd(f'w[{i}]', 'coef_std')} FROM fullp" for i, x in enumerate(X, 1)),
+)
+def lasso_exact_path(spark, sf):
+    """The coefficients at 200 penalties from the knots of the exact path; the twin descends coordinate by coordinate."""
+    return tidy(L.at_penalties(L.lasso_knots(segment_returns(spark, sf), "y", X)))
+
+
 _PCA = (
     f"{_SEG}, cm AS (SELECT panel_id, ["
     + ", ".join("[" + ", ".join("1e0" if a == b else f"corr({a}, {b})" for b in COLS) + "]" for a in COLS)
