@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from seriesmill.session import fresh_path
 
@@ -42,6 +43,12 @@ def use_rocksdb(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
 
 
+def _late_rows(query: StreamingQuery, late: dict[int, int]) -> None:
+    """Rows too late for the watermark, by batch."""
+    for p in query.recentProgress:
+        late[p.batchId] = max(late.get(p.batchId, 0), sum(op.numRowsDroppedByWatermark for op in p.stateOperators))
+
+
 def run_to_table(out: DataFrame, label: str, path: str | None = None, checkpoint: str | None = None, counts: dict | None = None) -> DataFrame:
     """Process everything available, append to a table in the shared folder and return that table.
 
@@ -59,7 +66,11 @@ def run_to_table(out: DataFrame, label: str, path: str | None = None, checkpoint
         .trigger(availableNow=True)
         .start()
     )
-    query.awaitTermination()
+    late: dict[int, int] = {}
+    # Only the latest reports are kept by the query, so they are taken down while it runs.
+    while not query.awaitTermination(0.2):
+        _late_rows(query, late)
+    _late_rows(query, late)
     if counts is not None:
-        counts["late"] = sum(op.numRowsDroppedByWatermark for p in query.recentProgress for op in p.stateOperators)
+        counts["late"] = sum(late.values())
     return spark.read.schema(out.schema).parquet(path)

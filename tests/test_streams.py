@@ -195,3 +195,24 @@ def test_keywords(spark, tmp_path):
     want = {(1, "tariff"), (3, "rate cut"), (4, "tariff,rate cut")}
     assert {tuple(r) for r in out.collect()} == want
     assert {tuple(r) for r in C.keyword_alerts(spark.createDataFrame(docs), words).drop("text").collect()} == want
+
+
+def test_late_rows_are_counted_beyond_the_latest_reports(spark, events, tmp_path):
+    """The query keeps only its latest report here; the late rows of earlier batches count all the same."""
+    src = _land(events, str(tmp_path / "in"), 3)
+    late = _land(events.head(5).assign(event_id=range(9000, 9005)), str(tmp_path / "late"), 1)
+    for k, when in enumerate((1_700_000_000, 1_700_000_100, 1_700_000_200)):
+        os.utime(f"{src}/part-{k:03d}.parquet", (when, when))
+    os.replace(f"{late}/part-000.parquet", f"{src}/part-900.parquet")
+    os.utime(f"{src}/part-900.parquet", (1_800_000_000, 1_800_000_000))
+    last = _land(events.tail(3).assign(event_id=range(9100, 9103)), str(tmp_path / "last"), 1)
+    os.replace(f"{last}/part-000.parquet", f"{src}/part-901.parquet")
+    os.utime(f"{src}/part-901.parquet", (1_900_000_000, 1_900_000_000))
+    old = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        counts = {}
+        E.run_to_table(R.latest_per_bucket(E.tick_stream(spark, src, 1)), "b", str(tmp_path / "o"), str(tmp_path / "cp"), counts)
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", old)
+    assert counts["late"] == 6, "five of the batch before, one group of the last"
