@@ -89,7 +89,7 @@ def op7_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Runs of repeated sentences and lines, with their place in the original text."""
+    """Runs of repeated units, with their place in the original text."""
     runs = substring_dedup.repeated_runs(table(spark, sf_dir, "documents"))
     return runs.select("doc_id", "start", "length", "n_units", "n_words", "kept_doc_id")
 
@@ -162,26 +162,31 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
 FROM turns GROUP BY conv_id
 """
 
-ORACLES["op8_substring_dedup"] = r"""
+ORACLES["op8_substring_dedup"] = rf"""
 WITH cut AS (
-  SELECT doc_id, regexp_extract_all(text, '[^.!?;\n]*[.!?;\n]+|[^.!?;\n]+') AS us FROM documents
+  SELECT doc_id, regexp_extract_all(text, '{substring_dedup.UNIT_PATTERN}') AS us FROM documents
 ), u0 AS (
   SELECT doc_id, unnest(us) AS unit, unnest(generate_series(1, len(us))) AS k FROM cut
 ), u1 AS (
   SELECT doc_id, k, length(unit) AS len,
     coalesce(sum(length(unit)) OVER (PARTITION BY doc_id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start,
-    trim(regexp_replace(lower(trim(unit, ' ' || chr(9) || chr(13) || chr(10) || '.!?;')), '\s+', ' ', 'g')) AS norm
+    regexp_replace(lower(regexp_replace(unit, '{substring_dedup.EDGE_PATTERN}', '', 'g')), '[{substring_dedup.BLANK}]+', ' ', 'g') AS norm
   FROM u0
 ), u2 AS (
-  SELECT *, len(string_split(norm, ' ')) AS words, row_number() OVER (PARTITION BY doc_id ORDER BY k) AS place FROM u1 WHERE norm <> ''
+  SELECT doc_id, start, start + len AS stop, norm, len(string_split(norm, ' ')) + len(regexp_extract_all(norm, '[{substring_dedup.WIDE}]')) // 2 AS words,
+    row_number() OVER w AS place, lead(norm) OVER w AS next_norm
+  FROM u1 WHERE norm <> '' WINDOW w AS (PARTITION BY doc_id ORDER BY k)
+), u3 AS (
+  SELECT *, lead(stop) OVER w AS next_stop, lead(words) OVER w AS next_words FROM u2 WINDOW w AS (PARTITION BY doc_id ORDER BY place)
 ), ranked AS (
-  SELECT *, row_number() OVER w AS nth, first_value(doc_id) OVER w AS first_doc FROM u2 WINDOW w AS (PARTITION BY norm ORDER BY doc_id, place)
+  SELECT *, row_number() OVER w AS nth, first_value(doc_id) OVER w AS first_doc
+  FROM u3 WHERE next_norm IS NOT NULL WINDOW w AS (PARTITION BY norm, next_norm ORDER BY doc_id, place)
 ), islands AS (
   SELECT *, place - row_number() OVER (PARTITION BY doc_id ORDER BY place) AS island FROM ranked WHERE nth > 1
 )
-SELECT doc_id, min(start)::BIGINT AS start, (max(start + len) - min(start))::BIGINT AS length, count(*)::BIGINT AS n_units,
-  sum(words)::BIGINT AS n_words, arg_min(first_doc, place)::BIGINT AS kept_doc_id
-FROM islands GROUP BY doc_id, island HAVING sum(words) >= 25
+SELECT doc_id, min(start)::BIGINT AS start, (max(next_stop) - min(start))::BIGINT AS length, (count(*) + 1)::BIGINT AS n_units,
+  (sum(words) + arg_max(next_words, place))::BIGINT AS n_words, arg_min(first_doc, place)::BIGINT AS kept_doc_id
+FROM islands GROUP BY doc_id, island HAVING sum(words) + arg_max(next_words, place) >= {substring_dedup.MIN_WORDS}
 """
 
 ORACLES["op13_importance"] = r"""

@@ -6,6 +6,8 @@ import re
 from collections import defaultdict
 
 SF = "/root/testdata/sf0.001"
+#: Thai, Lao, Burmese, Khmer, kana and ideographs: scripts without blanks between words.
+WIDE = [(0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3040, 0x30FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x3134F)]
 #: Names that operators use inside, as extra columns of the input.
 CLASHING = "row key n n_tokens part nth start length cell range border h1 h2 place leaf text_key bits ids rank tokens lang_pred component".split()
 
@@ -65,24 +67,49 @@ def linked(rows) -> list[tuple]:
 
 
 def repeats(rows, min_words: int) -> list[tuple]:
-    """(doc_id, start, length, units, words) of the runs to take out, from rows with unique ids."""
+    """(doc_id, start, length, units, words) of the runs to take out, from rows with unique ids: word by word, without patterns."""
+    blank = lambda c: c.isspace() and c != "\n"
+    end = lambda c: c in ".!?;|\n。！？｡؟।॥…、，"
+    wide = lambda c: any(a <= ord(c) <= b for a, b in WIDE)
     seen, out = set(), []
     for doc_id, text in sorted(r for r in rows if r[1]):
+        n, at, units = len(text), 0, []
+
+        def skip(i, test, most=None):
+            j = i
+            while j < n and test(text[j]) and (most is None or j - i < most):
+                j += 1
+            return j
+
+        while at < n:
+            start, at, said = at, skip(at, blank), []
+            while True:
+                stop = skip(at, wide, 24)
+                if stop == at:
+                    stop = skip(at, lambda c: not (blank(c) or end(c) or wide(c)))
+                    after = skip(stop, blank)
+                    if at < stop < after and stop - at <= 8 and text[stop - 1] not in "37" and len(said) < 11:
+                        said.append(text[at:stop].lower())
+                        at = after
+                        continue
+                if stop > at:
+                    said.append(text[at:stop].lower())
+                at = skip(stop, lambda c: blank(c) or end(c))
+                break
+            if said:
+                units.append((start, at, len(said) + sum(map(wide, "".join(said))) // 2, " ".join(said)))
         run = []
 
         def close():
-            if sum(w for _, _, w in run) >= min_words:
-                out.append((doc_id, run[0][0], run[-1][1] - run[0][0], len(run), sum(w for _, _, w in run)))
+            if run and sum(u[2] for u in run) >= min_words:
+                out.append((doc_id, run[0][0], run[-1][1] - run[0][0], len(run), sum(u[2] for u in run)))
             run.clear()
 
-        for m in re.finditer(r"[^.!?;\n]*[.!?;\n]+|[^.!?;\n]+", text):
-            words = tuple(m[0].strip(" \t\r\n.!?;").lower().split())
-            if not words:
-                continue
-            if words in seen:
-                run.append((m.start(), m.end(), len(words)))
+        for one, two in zip(units, units[1:]):
+            if (one[3], two[3]) in seen:
+                run.extend([two] if run else [one, two])
             else:
                 close()
-                seen.add(words)
+                seen.add((one[3], two[3]))
         close()
     return sorted(out)

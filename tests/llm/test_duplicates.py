@@ -194,6 +194,46 @@ def test_passages_inside_lines_are_cut(spark):
     assert substring_dedup.repeated_runs(docs.where("false")).count() == 0
 
 
+def test_passages_are_found_anywhere(spark):
+    """Passages in the middle of sentences, in rows of a table and in Japanese are cut out; other text stays word for word."""
+    rng = random.Random(5)
+    prose = [r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("length(text) > 4000").limit(120).collect()]
+    rows, planted, k = [], {}, 0
+    for size in (55, 60, 100):
+        for text in prose:
+            told = [w for w in text.split(" ") if w]
+            at = rng.randrange(len(told) - size)
+            passage = f"{' '.join(told[at : at + size])}"
+            for _ in range(2):
+                rows.append((k, f"{' '.join(words(rng, 14))} {passage} {' '.join(words(rng, 14))}"))
+                k += 1
+            planted[k - 1] = (size, passage)
+    table = " | ".join(words(rng, 60))
+    japanese = "".join(rng.choice("あいうえおかきくけこさしすせそ日本語文章処理、。") for _ in range(500))
+    rows += [(k, f"head {table} tail"), (k + 1, f"other start {table} | end"), (k + 2, f"これは{japanese}です"), (k + 3, f"また{japanese}でした")]
+    runs = substring_dedup.repeated_runs(documents(spark, rows)).collect()
+    got = {}
+    for r in runs:
+        got.setdefault(r.doc_id, []).append((r.start, r.start + r.length))
+    assert {k + 1, k + 3} <= set(got) and not {k, k + 2} & set(got)
+    for size, least in ((55, 0.95), (60, 0.97), (100, 0.98)):
+        ids = [i for i, (s, _) in planted.items() if s == size]
+        assert sum(i in got for i in ids) / len(ids) >= least
+    for i, text in rows:
+        if i in planted:
+            inside = text.index(planted[i][1])
+            assert all(inside - 1 <= a and b <= inside + len(planted[i][1]) + 1 for a, b in got.get(i, []) if i % 2)
+    assert sorted((r.doc_id, r.start, r.length, r.n_units, r.n_words) for r in runs) == repeats(rows, substring_dedup.MIN_WORDS)
+
+
+@pytest.mark.parametrize("text", ["", " ", "...", "a\u00a0b\u3000c" * 40, "x" * 5000, "日本語の文章" * 30, "One two three. " * 9, "\x1c\x85 a", "w " * 3000])
+def test_units_tile_their_text(text):
+    found = [m[0] for m in substring_dedup.UNIT.finditer(text)]
+    assert "".join(found) == text
+    places = substring_dedup.places_of(text)
+    assert all(w < substring_dedup.MIN_WORDS and v < substring_dedup.MIN_WORDS for _, _, w, v, _ in places)
+
+
 def test_fingerprints_estimate_the_similarity(spark, monkeypatch):
     monkeypatch.setattr(fingerprints, "RANGE_ROWS", 40)
     docs = spark.read.parquet(f"{SF}/documents.parquet")
