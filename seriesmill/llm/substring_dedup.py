@@ -115,8 +115,10 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "do
     runs = stored(runs.where(F.col("n_words") >= min_words).drop("island"), "runs")
     # Rows with equal id and text are numbered, so that each of them can be told apart by its content.
     heads = all_units.where("place = 0").select("row", "doc_id", "text_key")
-    with_run = heads.join(runs.select("row").distinct(), "row", "left_semi").select("text_key").distinct()
-    nth = heads.join(with_run, "text_key", "left_semi").withColumn("nth", F.row_number().over(Window.partitionBy("text_key", "doc_id").orderBy("row")))
+    same = ["text_key", F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("no_id")]
+    with_run = heads.join(runs.select("row").distinct(), "row", "left_semi").select(*same).distinct()
+    copies = heads.select("row", "doc_id", *same).join(with_run, ["text_key", "id", "no_id"], "left_semi")
+    nth = copies.withColumn("nth", F.row_number().over(Window.partitionBy("text_key", "id", "no_id").orderBy("row"))).select("row", "doc_id", "text_key", "nth")
     return runs.join(nth, "row").select("doc_id", "text_key", "nth", F.col("start").cast("bigint"), (F.col("end") - F.col("start")).cast("bigint").alias("length"), "n_units", "n_words", "kept_doc_id")
 
 
