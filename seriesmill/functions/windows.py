@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 KEYS = ("series_id",)
@@ -102,13 +102,24 @@ def zscore_cum(df: DataFrame, n: int, value="value", keys=KEYS, order="date", ou
     return zscore(cum_sum(df, value, keys, order, out="cum"), n, "cum", keys, order, out)
 
 
+def correlation(y: str, x: str, over: WindowSpec | None = None) -> Column:
+    """Correlation of the complete pairs of a group, or of a window; null where either side does not vary.
+
+    ``corr`` would stop the whole job there, with a division by zero: two equal returns at the start of one series are enough.
+    """
+    both = F.col(y).isNotNull() & F.col(x).isNotNull()
+    parts = [F.covar_pop(y, x), *[F.stddev_pop(F.when(both, F.col(c))) for c in (y, x)]]
+    cov, std_y, std_x = parts if over is None else [p.over(over) for p in parts]
+    return F.try_divide(cov, std_y * std_x)
+
+
 def rolling_corr(df: DataFrame, n: int, y: str, xs: Sequence[str], keys=KEYS, order="date") -> DataFrame:
-    """Correlation of ``y`` with each of ``xs`` over the last ``n`` rows, current row included."""
+    """Correlation of ``y`` with each of ``xs`` over the last ``n`` rows, current row included; null where one of them is flat."""
     w = by(keys, order).rowsBetween(-(n - 1), 0)
 
     def one(x: str) -> Column:
         both = F.count(F.when(F.col(y).isNotNull() & F.col(x).isNotNull(), 1)).over(w)
-        return _full(F.corr(y, x).over(w), both, n)
+        return _full(correlation(y, x, w), both, n)
 
     return df.withColumns({f"corr_{x}": one(x) for x in xs})
 

@@ -48,7 +48,7 @@ def max_drawdown(prices: DataFrame, value: str = "value", keys: Sequence[str] =
 def corr_matrix(returns: DataFrame, cols: Sequence[str], keys: Sequence[str] = ("panel_id",)) -> DataFrame:
     """All pairwise correlations in long form (row, col, corr), from one pass over the panel."""
     pairs = list(itertools.combinations_with_replacement(cols, 2))
-    aggs = [F.corr(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs) if a != b]
+    aggs = [W.correlation(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs) if a != b]
     wide = returns.groupBy(*keys).agg(*aggs, F.count(F.lit(1)).alias("n"))
     cells = []
     for i, (a, b) in enumerate(pairs):
@@ -167,7 +167,7 @@ def simple_ols(df: DataFrame, y: str, x: str, keys: Sequence[str]) -> DataFrame:
         F.regr_slope(y, x).alias("slope"),
         F.regr_intercept(y, x).alias("intercept"),
         F.regr_r2(y, x).alias("r2"),
-        F.corr(y, x).alias("corr"),
+        W.correlation(y, x).alias("corr"),
         F.count(F.when(F.col(y).isNotNull() & F.col(x).isNotNull(), 1)).alias("n"),
     )
 
