@@ -5,8 +5,9 @@ products) are kept from its front and from its back; a window is the back of one
 merge of two summaries gives it. Summaries only ever grow or merge around means: nothing is subtracted, so nothing
 cancels, and a window is not read again for each row.
 
-All blocks of an Arrow batch step together in numpy. Series at date grain stream through their sorted partition, which
-keeps the rows that the next batch still looks back on; sequences without a bound come in chunks with copied borders.
+All blocks of an Arrow batch step together in numpy. Rows stream through their sorted partition, which keeps those that the
+next ones still look back on. Series at date grain come whole; sequences without a bound come in chunks with copied
+borders. No task holds a series or a chunk: what it holds depends on the window only, not on the number of rows.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ from seriesmill.operators.regression import KEYS, _fit, full_matrix
 
 #: Means and cross products (upper triangle) of the full windows, their rows' values, and which rows have a full window.
 Use = Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray], dict[str, np.ndarray]]
+#: Blocks that step together, so that a step is worth its call, and the rows that are enough for that however long a block is.
+ABREAST, ROWS_AT_ONCE = 64, 100_000
 
 
 def _runs(x: np.ndarray, first: np.ndarray, lengths: np.ndarray, step: int) -> tuple[np.ndarray, np.ndarray]:
@@ -88,16 +91,34 @@ def _looked_at(pdf: pd.DataFrame, x: np.ndarray, starts: np.ndarray, n: int, lag
     return use(mean[ok], s[ok], x[rows[ok]], rows[ok])
 
 
+def _at_least(batches: Iterator[pd.DataFrame], rows: int) -> Iterator[pd.DataFrame]:
+    """Batches joined until they hold so many rows."""
+    parts, size = [], 0
+    for pdf in batches:
+        if len(pdf):
+            parts.append(pdf)
+            size += len(pdf)
+        if parts and size >= rows:
+            joined, parts, size = pd.concat(parts, ignore_index=True), [], 0
+            yield joined
+    if parts:
+        yield pd.concat(parts, ignore_index=True)
+
+
 def moving(df: DataFrame, cols: Sequence[str], n: int, use: Use, out: Sequence[str], keys: Sequence[str] = KEYS, order: str | Sequence[str] = "date",
            lag: int = 0, keep: Sequence[str] = (), rows_per_chunk: int | None = None) -> DataFrame:
     """(keys, order, keep, out): what ``use`` makes of the summary of each window of ``n`` rows; null before a full one.
 
     ``lag`` 0: the window ends with the row itself, 1: with the row before. ``rows_per_chunk``: for sequences that no
-    task shall hold; without it a series is one run of rows in one task, which never holds more than a batch and a window.
+    task shall read whole; without it a series is one run of rows in one task. Either way a
+    task holds a batch and two windows, or a batch, a window and at most ``ROWS_AT_ONCE`` rows where that is more.
     """
     keys, order, keep, cols, out = list(keys), [order] if isinstance(order, str) else list(order), list(keep), list(cols), list(out)
     rows = df.select(*keys, *order, *keep, *[F.col(c).cast("double").alias(f"_v{i}") for i, c in enumerate(cols)])
     ids = [*keys, *order, *keep]
+    run = keys if rows_per_chunk is None else ["_chunk", *keys]
+    back = n - 1 + lag
+    least = max(back, min(ABREAST * n, ROWS_AT_ONCE))  # of new rows: what is looked back on is computed at most twice
     schema = ", ".join([f"`{c}` {df.schema[c].dataType.simpleString()}" for c in ids] + [f"`{c}` double" for c in out])
 
     def values(pdf: pd.DataFrame) -> np.ndarray:
@@ -106,7 +127,7 @@ def moving(df: DataFrame, cols: Sequence[str], n: int, use: Use, out: Sequence[s
     def starts_of(pdf: pd.DataFrame) -> np.ndarray:
         new = np.zeros(len(pdf), bool)
         new[:1] = True
-        for c in keys:
+        for c in run:
             codes = pd.factorize(pdf[c], use_na_sentinel=False)[0]
             new[1:] |= codes[1:] != codes[:-1]
         return np.flatnonzero(new)
@@ -122,26 +143,21 @@ def moving(df: DataFrame, cols: Sequence[str], n: int, use: Use, out: Sequence[s
         _looked_at(pdf, values(pdf), starts_of(pdf), n, lag, place)
         return pdf.loc[own, ids].assign(**{c: v[own] for c, v in results.items()})
 
-    if rows_per_chunk is not None:
-
-        def in_chunk(pdf: pd.DataFrame) -> pd.DataFrame:
-            pdf = pdf.sort_values("_pos", kind="stable").reset_index(drop=True)
-            return with_results(pdf, pdf["_own"].to_numpy(bool))
-
-        return chunked(rows, keys, order, n - 1 + lag, rows_per_chunk).groupBy("_chunk").applyInPandas(in_chunk, schema)
-
     def in_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: pd.DataFrame | None = None
-        for pdf in batches:
-            if not len(pdf):
-                continue
+        for pdf in _at_least(batches, least):
             before = 0 if held is None else len(held)
             pdf = pdf if held is None else pd.concat([held, pdf], ignore_index=True)
-            yield with_results(pdf, np.arange(len(pdf)) >= before)
-            last = max(int(starts_of(pdf)[-1]), len(pdf) - (n - 1 + lag))
+            own = np.arange(len(pdf)) >= before
+            yield with_results(pdf, own if rows_per_chunk is None else own & pdf["_own"].to_numpy(bool))
+            last = max(int(starts_of(pdf)[-1]), len(pdf) - back)
             held = pdf.iloc[last:].reset_index(drop=True) if last < len(pdf) else None
 
-    return rows.repartition(*keys).sortWithinPartitions(*keys, *order).mapInPandas(in_partition, schema)
+    if rows_per_chunk is None:
+        ordered = rows.repartition(*keys).sortWithinPartitions(*keys, *order)
+    else:
+        ordered = chunked(rows, keys, order, back, rows_per_chunk).repartition("_chunk").sortWithinPartitions("_chunk", "_pos")
+    return ordered.mapInPandas(in_partition, schema)
 
 
 # --- uses ----------------------------------------------------------------------------------------
